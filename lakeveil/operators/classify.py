@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeveil.functions.names import alias_contains_sql, alias_exact_sql, normalize_name
-from lakeveil.functions.sqltext import pick
+from lakeveil.functions.sqltext import pick_by_column
 from lakeveil.operators.profile import samples_as_arrays
 from lakeveil.plans.seeds import RULES, Rule
 
@@ -45,11 +45,12 @@ def match_names(frame: DataFrame, rules: list[Rule] = RULES, priority: str = "fi
     return (
         frame.withColumn("normalized", normalize_name(F.col("column_name")))
         .withColumn("hit", F.expr(f"case {' '.join(branches)} end"))
+        .withColumn("rule", F.expr("hit div 2"))
         .selectExpr(
             *frame.columns,
-            f"{pick([r.code for r in rules], 'hit div 2')} as name_category",
+            f"{pick_by_column([r.code for r in rules], 'rule')} as name_category",
             f"case hit % 2 when 0 then {EXACT_CONFIDENCE}D when 1 then {CONTAINS_CONFIDENCE}D end as name_confidence",
-            f"{pick([r.sensitivity for r in rules], 'hit div 2')} as name_sensitivity",
+            f"{pick_by_column([r.sensitivity for r in rules], 'rule')} as name_sensitivity",
         )
     )
 
@@ -99,9 +100,9 @@ def match_patterns(ratios: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
         .withColumn("hit", F.expr(f"case when best = 0.0D then cast(null as int){branches} end"))
         .selectExpr(
             *kept,
-            f"{pick([r.code for r in with_pattern], 'hit')} as regex_category",
+            f"{pick_by_column([r.code for r in with_pattern], 'hit')} as regex_category",
             "case when hit is not null then best end as regex_confidence",
-            f"{pick([r.sensitivity for r in with_pattern], 'hit')} as regex_sensitivity",
+            f"{pick_by_column([r.sensitivity for r in with_pattern], 'hit')} as regex_sensitivity",
         )
     )
 
