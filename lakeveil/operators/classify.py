@@ -7,11 +7,13 @@ literal pattern. There is no join between columns and rules.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeveil.functions.names import alias_contains_sql, alias_exact_sql, normalize_name
-from lakeveil.functions.sqltext import pick_by_column
+from lakeveil.functions.sqltext import identifier, pick_by_column, string
 from lakeveil.operators.profile import samples_as_arrays
 from lakeveil.plans.seeds import RULES, Rule
 
@@ -42,9 +44,11 @@ def match_names(frame: DataFrame, rules: list[Rule] = RULES, priority: str = "fi
     exact = [f"when {alias_exact_sql('normalized', r.aliases)} then {2 * i}" for i, r in _numbered(rules)]
     contained = [f"when {alias_contains_sql('normalized', r.aliases)} then {2 * i + 1}" for i, r in _numbered(rules)]
     branches = exact + contained if priority == "best" else [b for pair in zip(exact, contained) for b in pair]
+    # Most names meet no alias at all, and one search tells.
+    any_alias = alias_contains_sql("normalized", [a for r in rules for a in r.aliases])
     return (
         frame.withColumn("normalized", normalize_name(F.col("column_name")))
-        .withColumn("hit", F.expr(f"case {' '.join(branches)} end"))
+        .withColumn("hit", F.expr(f"case when not ({any_alias}) then null {' '.join(branches)} end"))
         .withColumn("rule", F.expr("hit div 2"))
         .selectExpr(
             *frame.columns,
@@ -61,6 +65,29 @@ def _pattern(rule: Rule, match_mode: str) -> str:
     return rule.pattern if match_mode == "search" else f"^(?:{rule.pattern})$"
 
 
+def _necessary_sql(value: str, pattern: str) -> str | None:
+    """A cheap condition that holds wherever ``pattern`` is found, if one is plain to see.
+
+    Long texts without an @, or without enough digits in a row, are spared the
+    backtracking of the full pattern.
+    """
+    unclassed = re.sub(r"\[[^\]]*\]", "C", pattern)
+    if re.search(r"(?<!\\)@(?![?*{])", unclassed) and not re.search(r"[|()]", unclassed):
+        return f"contains({value}, '@')"
+    ungrouped = re.sub(r"\([^()]*\)[?*]?", "", pattern)
+    run = re.search(r"\[0-9\]\{(\d+)", ungrouped)
+    if run and "(" in pattern and not re.search(r"[|()]", ungrouped):
+        return f"{value} rlike '[0-9]{{{run.group(1)}}}'"
+    return None
+
+
+def found_sql(value: str, pattern: str) -> str:
+    """True where ``pattern`` is found in ``value``."""
+    search = f"{value} rlike {string(pattern)}"
+    necessary = _necessary_sql(value, pattern)
+    return f"{necessary} and {search}" if necessary else search
+
+
 def ratio_column(rule: Rule) -> str:
     return f"ratio_{rule.code.lower()}"
 
@@ -78,7 +105,7 @@ def regex_ratios(
     no more to shuffle than any other.
     """
     aggregates = [
-        F.avg(F.col(value).rlike(_pattern(r, match_mode)).cast("double")).alias(ratio_column(r))
+        F.expr(f"avg(cast({found_sql(identifier(value), _pattern(r, match_mode))} as double))").alias(ratio_column(r))
         for r in rules
         if r.pattern
     ]

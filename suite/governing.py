@@ -64,7 +64,8 @@ _EMAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
 def mask_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses found in the documents, and sources as values without an @."""
     documents = table(spark, sf_dir, "documents")
-    found = documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_EMAIL), F.lit(0))).alias("v"))
+    with_at = documents.where(F.col("text").contains("@"))
+    found = with_at.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_EMAIL), F.lit(0))).alias("v"))
     values = found.unionAll(documents.select("doc_id", "source"))
     return values.select("doc_id", masks.email_mask("v").alias("email"))
 

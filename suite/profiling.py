@@ -114,9 +114,9 @@ def alias_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alias_query(spark, sf_dir, alias_contains_sql)
 
 
-@query(f"with {_WORD_CTES}, {name_hits_cte('words', 'column_name')} select * from name_hits")
+@query(f"with {_WORD_CTES}, {name_hits_cte('words', 'column_name')} select * from words left join name_hits using (column_name)")
 def best_name_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.match_names(_words(spark, sf_dir)).where("name_category is not null")
+    return classify.match_names(_words(spark, sf_dir))
 
 
 # --------------------------------------------------------------- patterns
