@@ -6,14 +6,19 @@ Catalyst prune the columns that a reader does not ask for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 REDACTED = "[REDACTED]"
 
 # What "." leaves alone in a Java pattern, besides the newline.
-_RARE_BREAKS = "[\\r\\u0085\\u2028\\u2029]"
-_ANY_BREAK = "[\\n\\r\\u0085\\u2028\\u2029]"
+_RARE_BREAKS = ["\r", "\u0085", "\u2028", "\u2029"]
+
+
+def _holds_any(text: Column, marks: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(mark)) for mark in marks])
 
 
 def _text(value: Column | str) -> Column:
@@ -24,7 +29,7 @@ def _text(value: Column | str) -> Column:
 def _mask_line(line: Column, replace_char: str) -> Column:
     replacement = replace_char.replace("\\", "\\\\").replace("$", "\\$")
     stars = F.repeat(F.lit(replace_char), F.length(line))
-    return F.when(line.rlike(_RARE_BREAKS), F.regexp_replace(line, ".", replacement)).otherwise(stars)
+    return F.when(_holds_any(line, _RARE_BREAKS), F.regexp_replace(line, ".", replacement)).otherwise(stars)
 
 
 def partial_mask(value: Column | str, replace_char: str = "*") -> Column:
@@ -37,7 +42,7 @@ def partial_mask(value: Column | str, replace_char: str = "*") -> Column:
     rest = F.substring(text, 2, 2147483647)
     lines = F.transform(F.split(rest, "\n"), lambda line: _mask_line(line, replace_char))
     stars = F.repeat(F.lit(replace_char), F.length(rest))
-    masked = F.when(rest.rlike(_ANY_BREAK), F.array_join(lines, "\n")).otherwise(stars)
+    masked = F.when(_holds_any(rest, ["\n", *_RARE_BREAKS]), F.array_join(lines, "\n")).otherwise(stars)
     return F.concat(F.substring(text, 1, 1), masked)
 
 

@@ -121,8 +121,8 @@ def raise_on_failure(results: list[IngestResult]) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with a header; quotes are doubled, NULL is an empty cell."""
-    df.write.mode("error").option("header", True).option("escape", '"').option("emptyValue", '""').csv(path)
+    """CSV part files with a header; quotes are doubled. Empty texts are read back as NULL."""
+    df.write.mode("error").option("header", True).option("escape", '"').csv(path)
 
 
 def export_parquet(df: DataFrame, path: str) -> None:
