@@ -137,6 +137,21 @@ class Template:
         )
         return rows.withColumn("template_index", F.expr(index)).join(F.broadcast(named), "template_index", "left")
 
+    def apply(self, rows: DataFrame, pool: DataFrame, index: str) -> DataFrame:
+        """``rows`` with the rendered text as ``name``."""
+        joined = self.join(rows, pool, index)
+        filled = joined.selectExpr("*", *self.values()).withColumn(self.name, F.expr(self.rendered()))
+        return filled.drop("template_index", f"{self.name}_text", f"{self.name}_pii", *self._drawn())
+
+    def _drawn(self) -> list[str]:
+        return [f"{self.name}_{i}" for i in range(len(self._values))]
+
+
+def _columns(ids: DataFrame, draws: Draws, seed: int, table: str, columns: dict[str, str]) -> DataFrame:
+    """The ids with their digests and ``columns``. Templates come after, each with a
+    projection of its own behind its join: small ones stay compilable for the JVM."""
+    return draws.attach(ids, seed, table).selectExpr("*", *[f"{e} as {n}" for n, e in columns.items()])
+
 
 def citizen_info(ids: DataFrame, seed: int, as_of: dt.date | None) -> DataFrame:
     draws, today, (low, high) = Draws(), _today(as_of), AGE_RANGE
@@ -151,13 +166,12 @@ def citizen_info(ids: DataFrame, seed: int, as_of: dt.date | None) -> DataFrame:
         "occupation": draws.pick(dim.JOBS),
     }
     ward, house, street = draws.below(dim.WARD_COUNT), draws.below(999), draws.pick(dim.STREETS)
-    rows = draws.attach(ids, seed, "citizen_info").withColumn("ward_index", F.expr(ward))
+    columns["citizen_id"] = f"{ROW_ID} + 1"
+    columns["ward_index"] = ward
+    columns["street_line"] = f"concat(cast({house} + 1 as string), ' ', {street})"
+    rows = _columns(ids, draws, seed, "citizen_info", columns)
     placed = rows.join(F.broadcast(dim.address_pool(ids.sparkSession)), "ward_index")
-    return placed.selectExpr(
-        f"{ROW_ID} + 1 as citizen_id",
-        *[f"{e} as {n}" for n, e in columns.items()],
-        f"concat(cast({house} + 1 as string), ' ', {street}, ', ', ward_name, ', ', province_name) as address",
-    )
+    return placed.withColumn("address", F.concat_ws(", ", "street_line", "ward_name", "province_name"))
 
 
 def administrative_record(ids: DataFrame, seed: int, as_of: dt.date | None) -> DataFrame:
@@ -170,16 +184,9 @@ def administrative_record(ids: DataFrame, seed: int, as_of: dt.date | None) -> D
         "submission_date": f"date_sub({_today(as_of)}, cast({draws.below(HISTORY_DAYS + 1)} as int))",
     }
     note = Template("clerk_notes", dim.CLERK_NOTES, NOTE_KEYS, draws)
-    rows = draws.attach(ids, seed, "administrative_record")
-    placed = note.join(rows, dim.note_pool(ids.sparkSession, note.texts), index)
-    filled = placed.selectExpr("*", *note.values())
-    return filled.selectExpr(
-        f"{ROW_ID} + 1 as record_id",
-        "service_type",
-        "status",
-        *[f"{e} as {n}" for n, e in columns.items()],
-        f"{note.rendered()} as clerk_notes",
-    )
+    columns["record_id"] = f"{ROW_ID} + 1"
+    rows = _columns(ids, draws, seed, "administrative_record", columns)
+    return note.apply(rows, dim.note_pool(ids.sparkSession, note.texts), index)
 
 
 def transaction_log(ids: DataFrame, seed: int, as_of: dt.date | None) -> DataFrame:
@@ -198,17 +205,11 @@ def transaction_log(ids: DataFrame, seed: int, as_of: dt.date | None) -> DataFra
     }
     message = Template("tx_message", dim.TX_MESSAGES, TX_KEYS, draws)
     fraud = Template("fraud_notes", dim.FRAUD_NOTES, TX_KEYS, draws)
-    rows = draws.attach(ids, seed, "transaction_log")
-    rows = message.join(rows, dim.texts_frame(spark, message.texts), message_index).drop("template_index")
+    columns["tx_id"] = f"{ROW_ID} + 1"
+    rows = _columns(ids, draws, seed, "transaction_log", columns)
+    rows = message.apply(rows, dim.texts_frame(spark, message.texts), message_index)
     # No index, and so no text and no draws, for the many rows without a fraud note.
-    rows = fraud.join(rows, dim.texts_frame(spark, fraud.texts), f"case when {suspicious} then {fraud_index} end")
-    filled = rows.selectExpr("*", *message.values(), *fraud.values())
-    return filled.selectExpr(
-        f"{ROW_ID} + 1 as tx_id",
-        *[f"{e} as {n}" for n, e in columns.items()],
-        f"{message.rendered()} as tx_message",
-        f"{fraud.rendered()} as fraud_notes",
-    )
+    return fraud.apply(rows, dim.texts_frame(spark, fraud.texts), f"case when {suspicious} then {fraud_index} end")
 
 
 def hr_employee(ids: DataFrame, seed: int, as_of: dt.date | None) -> DataFrame:
@@ -225,13 +226,9 @@ def hr_employee(ids: DataFrame, seed: int, as_of: dt.date | None) -> DataFrame:
         "c05": phone_number(draws),
     }
     remark = Template("remarks", dim.HR_REMARKS, HR_KEYS, draws)
-    rows = draws.attach(ids, seed, "hr_employee")
-    placed = remark.join(rows, dim.texts_frame(ids.sparkSession, remark.texts), index)
-    return placed.selectExpr("*", *remark.values()).selectExpr(
-        f"{ROW_ID} + 1 as employee_id",
-        *[f"{e} as {n}" for n, e in columns.items()],
-        f"{remark.rendered()} as remarks",
-    )
+    columns["employee_id"] = f"{ROW_ID} + 1"
+    rows = _columns(ids, draws, seed, "hr_employee", columns)
+    return remark.apply(rows, dim.texts_frame(ids.sparkSession, remark.texts), index)
 
 
 GENERATORS = {
