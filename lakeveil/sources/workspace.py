@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a fresh local one only where none is named."""
+    """The session's checkpoint folder. A session inside one process may do without the
+    setting and gets a folder of its own; on a cluster a missing setting is an error, as
+    executors don't see each other's disks."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="lakeveil-")
         spark.conf.set(CHECKPOINT_DIR, folder)
     return folder.rstrip("/")
@@ -30,3 +36,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: it is computed once,
+    survives lost executors, and later plans know its size."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

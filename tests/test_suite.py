@@ -5,16 +5,17 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as registered
+from suite.base import ORACLES, QUERIES
 from suite.compare import difference
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_duckdb(spark, small, duck, name):
-    assert difference(registered.queries()[name](spark, small), duck, registered.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, small), duck, ORACLES[name]) is None
 
 
 def test_entry_has_rows(spark):
