@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import lakeveil.llm
 from lakeveil.sources.workspace import stored
 
+# Functions of this package travel to the executors by value: they need not have it installed.
+cloudpickle.register_pickle_by_value(lakeveil.llm)
+
 # Fixed value: what counts as a word, the same in Java, Python and DuckDB.
 WORD = r"[^\x20\x09-\x0D]+"
 # The locator of a row: a digest of its file's path, and its place in that file.

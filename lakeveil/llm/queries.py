@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeveil.llm import exact_dedup, mixing
+import corpus_pipeline
+from lakeveil.llm import exact_dedup, mixing, near_dup, pieces, quality
 from lakeveil.llm.common import documents
+from lakeveil.llm.parameters import labels, tokenizer_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,12 +25,31 @@ def query(oracle: str | None = None):
     return register
 
 
+@query()
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "class_id", "class_size", "kept")
+
+
 @query()
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(documents(spark, sf_dir), labels(spark, sf_dir))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *counts, "base_failed", "kept", "content_share")
+
+
+@query()
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encoded(documents(spark, sf_dir), tokenizer_model())
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query(
     """select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
   doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
@@ -37,3 +58,8 @@ from documents window same as (partition by coalesce(text, ''))"""
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
