@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 PIECE_MODEL = "piece_bpe_32k.model"
+# For the registered query only; a real key is a secret and comes from outside.
+PSEUDONYM_KEY = "registered query"
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lakeveil.llm import exact_dedup, mixing, near_dup, pieces, quality
+from lakeveil.llm import exact_dedup, mixing, near_dup, pieces, pseudonyms, quality, secrets
 from lakeveil.llm.common import documents
-from lakeveil.llm.parameters import labels, tokenizer_model
+from lakeveil.llm.parameters import PSEUDONYM_KEY, labels, tokenizer_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query()
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked")
+
+
 @query(
     """select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
   doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
@@ -60,6 +66,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query()
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymised(documents(spark, sf_dir), PSEUDONYM_KEY).select("doc_id", "text", "n_values", "kinds")
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
