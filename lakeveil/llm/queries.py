@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lakeveil.llm import exact_dedup, mixing, near_dup, pieces, pseudonyms, quality, secrets
+from lakeveil.llm import exact_dedup, mixing, mixing_lm, near_dup, pieces, pseudonyms, quality, secrets
+from lakeveil.llm import suffix_dedup, toxicity
 from lakeveil.llm.common import documents
 from lakeveil.llm.parameters import PSEUDONYM_KEY, labels, tokenizer_model
 
@@ -37,6 +38,12 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query()
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.judged(documents(spark, sf_dir), labels(spark, sf_dir))
@@ -71,6 +78,19 @@ def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(documents(spark, sf_dir), PSEUDONYM_KEY).select("doc_id", "text", "n_values", "kinds")
 
 
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scored(documents(spark, sf_dir), labels(spark, sf_dir))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op10_context_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing_lm.scored(documents(spark, sf_dir))
+    names = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+    return found.select("doc_id", "held_out", *names)
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
