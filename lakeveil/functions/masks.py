@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 REDACTED = "[REDACTED]"
+_ONE_ADDRESS = r"\A[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\z"
 
 # What "." leaves alone in a Java pattern, besides the newline.
 _RARE_BREAKS = ["\r", "\u0085", "\u2028", "\u2029"]
@@ -83,14 +84,18 @@ def national_id_mask(value: Column | str, replace_char: str = "*") -> Column:
 
 
 def email_mask(value: Column | str, replace_char: str = "*") -> Column:
-    """First character of the local part, ``***@``, then the domain."""
+    """First character of the local part, ``***@``, then the domain.
+
+    Anything but one whole address takes the default mask: what follows an @ in a
+    longer text is not a domain.
+    """
     text = _text(value)
     kept = F.concat(
         F.substring(F.substring_index(text, "@", 1), 1, 1),
         F.lit("***@"),
         F.substring_index(text, "@", -1),
     )
-    return F.when(text.contains("@"), kept).otherwise(partial_mask(text, replace_char))
+    return F.when(text.rlike(_ONE_ADDRESS), kept).otherwise(partial_mask(text, replace_char))
 
 
 PARTIAL_BY_CATEGORY = {

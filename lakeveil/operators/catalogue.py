@@ -57,8 +57,12 @@ def unscanned_columns(columns: DataFrame, table: str | None = None) -> DataFrame
 def apply_classification(columns: DataFrame, results: DataFrame) -> DataFrame:
     """``columns`` after a scan: every scanned column takes its new result as it is.
 
-    An UNKNOWN result clears an older category and leaves the column unscanned.
+    An UNKNOWN result clears an older category and leaves the column unscanned. A result
+    for a column that isn't registered is an error.
     """
+    strangers = results.join(columns, COLUMN_KEY, "left_anti").select(*COLUMN_KEY).take(1)
+    if strangers:
+        raise ValueError(f"no such column in the catalogue: {'.'.join(strangers[0])}")
     fresh = results.select(
         *COLUMN_KEY,
         F.col("category").alias("new_category"),
@@ -93,12 +97,16 @@ def scan_records(results: DataFrame) -> DataFrame:
     )
 
 
-def scan_summary(results: DataFrame) -> DataFrame:
-    """(tables_processed, columns_scanned, pii_detected, unsure, clean)"""
+def scan_summary(results: DataFrame, listed: int | None = None) -> DataFrame:
+    """(tables_processed, columns_scanned, pii_detected, unsure, clean)
+
+    ``listed`` is the number of tables the scan went through, those without open
+    columns among them; without it the tables with results are counted.
+    """
     pii = F.count_if(F.col("category").isNotNull())
     unsure = F.count_if(F.col("category").isNull() & (F.col("detection_method") == "UNKNOWN"))
     return results.agg(
-        F.count_distinct(*TABLE_KEY).alias("tables_processed"),
+        (F.count_distinct(*TABLE_KEY) if listed is None else F.lit(listed).cast("long")).alias("tables_processed"),
         F.count(F.lit(1)).alias("columns_scanned"),
         pii.alias("pii_detected"),
         unsure.alias("unsure"),
@@ -117,11 +125,17 @@ def code_lookup(frame: DataFrame, codes: DataFrame, column: str, code: str = "co
     return frame.join(ids, column, "left")
 
 
+def policies_with_ids(policies: DataFrame, roles: DataFrame, masking_functions: DataFrame) -> DataFrame:
+    """``policies`` with role_name_id and masking_function_id, NULL for a code that isn't known."""
+    found = code_lookup(policies, roles, "role_name", "role_name")
+    return code_lookup(found, masking_functions, "masking_function", "function_name")
+
+
 def columns_by_table(columns: DataFrame, tables: DataFrame, namespace: str, table: str) -> DataFrame:
     """The catalogued columns of one table; an unregistered table is an error."""
     wanted = (F.col("namespace") == namespace) & (F.col("table_name") == table)
     if tables.where(wanted).isEmpty():
-        raise ValueError(f"Table '{namespace}.{table}' not in metadata store")
+        raise ValueError(f"nothing catalogued under {namespace}.{table}")
     return columns.where(wanted)
 
 

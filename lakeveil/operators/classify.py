@@ -62,7 +62,7 @@ def match_names(frame: DataFrame, rules: list[Rule] = RULES, priority: str = "fi
 def _pattern(rule: Rule, match_mode: str) -> str:
     if match_mode not in ("search", "anchored"):
         raise ValueError(f"unknown match mode {match_mode!r}")
-    return rule.pattern if match_mode == "search" else f"^(?:{rule.pattern})$"
+    return rule.pattern if match_mode == "search" else rf"\A(?:{rule.pattern})\z"
 
 
 def _necessary_sql(value: str, pattern: str) -> str | None:

@@ -242,7 +242,7 @@ GENERATORS = {
 def generate_for(ids: DataFrame, table: str, seed: int = DEFAULT_SEED, as_of: dt.date | None = None) -> DataFrame:
     """One row of ``table`` per row of ``ids`` (a single bigint column of 0-based ids)."""
     if table not in GENERATORS:
-        raise ValueError(f"Unknown table '{table}'. Available: {', '.join(sorted(GENERATORS))}")
+        raise ValueError(f"no generator for {table!r}, only for {', '.join(sorted(GENERATORS))}")
     rows = GENERATORS[table](ids.toDF(ROW_ID), seed, as_of)
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[table].fields])
 

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeveil.functions.masks import mask_column
 from lakeveil.operators.profile import quoted
 
+_SPREAD = "lakeveil_spread"
+
 
 @dataclass(frozen=True)
 class ColumnAction:
@@ -48,7 +50,7 @@ def govern(
         for name in columns:
             action = actions.get(name)
             if action is None or action.action == "DENY":
-                raise ValueError(f"Column '{name}' does not exist or access is denied")
+                raise ValueError(f"no readable column {name!r}: it is missing, or the role may not see it")
     fallback = "ALLOW" if unknown == "allow" else "DENY"
     selected = []
     for name in columns if columns is not None else df.columns:
@@ -65,15 +67,29 @@ def govern(
 def masked_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str = "inner") -> DataFrame:
     """Join two governed tables on hash-masked keys.
 
-    Equal values have equal hashes, so the join holds without the raw keys. NULL
-    keys never match, so an inner join drops them before the shuffle. The side
-    is broadcast only if the optimizer's size estimate allows it; otherwise
-    both are shuffled and adaptive execution splits a key that is hot on one side.
+    Equal values have equal hashes, so the join holds without the raw keys. Columns of
+    the two sides that share a name are told apart as ``l.name`` and ``r.name``. NULL keys
+    never match: an inner join drops them, and an outer one deals those of the preserved
+    sides out by a second key that no row of the other side has. The side is broadcast
+    only if the optimizer's size estimate allows it; otherwise both are shuffled and
+    adaptive execution splits a key that is hot on one side.
     """
+    key_l, key_r = quoted(left_on), quoted(right_on)
     if how == "inner":
-        left = left.where(quoted(left_on).isNotNull())
-        right = right.where(quoted(right_on).isNotNull())
-    return left.join(right, F.expr(f"`{left_on}` = `{right_on}`"), how)
+        left, right = left.where(key_l.isNotNull()), right.where(key_r.isNotNull())
+        return left.alias("l").join(right.alias("r"), _of("l", left_on) == _of("r", right_on), how)
+    spread = [F.when(k.isNull(), 1 + F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), 1024)).otherwise(0)
+              for k, df in ((key_l, left), (key_r, right))]
+    met = left.withColumn(_SPREAD, spread[0]).alias("l").join(
+        right.withColumn(_SPREAD, spread[1]).alias("r"),
+        (_of("l", left_on) == _of("r", right_on)) & (_of("l", _SPREAD) == _of("r", _SPREAD)),
+        how,
+    )
+    return met.drop(_of("l", _SPREAD)).drop(_of("r", _SPREAD)) if how not in ("semi", "anti", "left_semi", "left_anti") else met.drop(_SPREAD)
+
+
+def _of(side: str, name: str) -> Column:
+    return F.col(f"{side}.`" + name.replace("`", "``") + "`")
 
 
 def group_by_masked(df: DataFrame, key: str, **aggregates: str) -> DataFrame:

@@ -41,7 +41,7 @@ def access_plan(columns: DataFrame, policies: DataFrame, roles: list[str]) -> Da
 def policies_for_role(policies: DataFrame, roles: DataFrame, role: str) -> DataFrame:
     """The policies of one role; an unknown role is an error, not an empty answer."""
     if roles.where(F.col("role_name") == role).isEmpty():
-        raise ValueError(f"Role '{role}' not found")
+        raise ValueError(f"no role named {role!r}")
     return policies.where(F.col("role_name") == role)
 
 

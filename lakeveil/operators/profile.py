@@ -19,10 +19,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from lakeveil.functions.sqltext import identifier, string
 from lakeveil.functions.text import raw_text_sql, repair_text_sql
+from lakeveil.sources.workspace import stored
 
 DEFAULT_SAMPLE_SIZE = 50
 STORED_SAMPLE_SIZE = 10
@@ -35,13 +35,6 @@ _SKETCH_SIZE = 10  # log2 of the sketch's buckets
 # Tables per Spark job: keeps a plan over a wide catalogue small enough to compile.
 _TABLES_PER_JOB = 32
 
-# A file of a few row groups keeps only a few cores busy. Between these sizes the
-# columns of a table are spread over several scans instead; each column chunk
-# is still read once. Larger tables have tasks enough, smaller ones need none.
-_SPREAD_FROM_BYTES = 2 * 1024**2
-_SPREAD_TO_BYTES = 1024**3
-_SPREAD_COLUMNS = 3
-
 Columns = dict[str, list[str]]
 
 
@@ -58,20 +51,14 @@ def _batches(names: list[str]) -> list[list[str]]:
 
 
 def _chosen(tables: dict[str, DataFrame], columns: Columns | None) -> Columns:
+    for table, names in (columns or {}).items():
+        missing = sorted(set(names) - set(tables[table].columns))
+        if missing:
+            raise ValueError(f"table {table} has no column {', '.join(missing)}")
     chosen = columns if columns is not None else {t: df.columns for t, df in tables.items()}
     return {t: list(cols) for t, cols in chosen.items() if cols}
 
 
-def _scans(tables: dict[str, DataFrame], columns: Columns) -> list[tuple[str, list[str]]]:
-    """Which columns of which table are read together."""
-    scans = []
-    for table, names in columns.items():
-        size = int(tables[table]._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        step = _SPREAD_COLUMNS if _SPREAD_FROM_BYTES <= size < _SPREAD_TO_BYTES else len(names)
-        scans += [(table, names[i : i + step]) for i in range(0, len(names), step)]
-    return scans
-
-
 def _hashable(df: DataFrame, name: str) -> str:
     data_type = df.schema[name].dataType
     if isinstance(data_type, (T.MapType, T.VariantType)):
@@ -82,7 +69,7 @@ def _hashable(df: DataFrame, name: str) -> str:
 def distinct_estimates(tables: dict[str, DataFrame], columns: Columns | None = None) -> DataFrame:
     """(table_name, column_name, approx_distinct); only sketches leave the map side."""
     frames = []
-    for table, names in _scans(tables, _chosen(tables, columns)):
+    for table, names in _chosen(tables, columns).items():
         df = tables[table]
         sketches = [
             f"hll_sketch_estimate(hll_sketch_agg(xxhash64({_hashable(df, n)}), {_SKETCH_SIZE})) as d{i}"
@@ -150,8 +137,8 @@ def sample_tables(
 ) -> DataFrame:
     """Samples of many tables: (table_name, column_name, sample_rank, sample_value).
 
-    The result holds at most ``sample_size`` values per column and is persisted,
-    because checking it and using it would otherwise scan the tables twice.
+    The result holds at most ``sample_size`` values per column and is a stored table,
+    because checking it and using it would otherwise scan the tables twice. Nothing is cached.
     """
     chosen = _chosen(tables, columns)
     if not chosen:
@@ -159,9 +146,8 @@ def sample_tables(
     bounds = _digest_bounds(tables, chosen, sample_size)
     parts = []
     for batch in _batches(list(chosen)):
-        scans = _scans(tables, {t: chosen[t] for t in batch})
-        candidates = union_all([_candidates(tables[t], t, names, bounds) for t, names in scans])
-        part = _smallest(candidates, sample_size).persist(StorageLevel.MEMORY_AND_DISK)
+        candidates = union_all([_candidates(tables[t], t, chosen[t], bounds) for t in batch])
+        part = stored(_smallest(candidates, sample_size), "samples")
         bounded = {key for key in bounds if key[0] in batch}
         if bounded:
             found = {

@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 from lakeveil.operators import catalogue, classify, governed, policy, profile
 from lakeveil.plans.seeds import collect_rules
 from lakeveil.sources import catalog
-from lakeveil.sources.ingest import IngestResult
+from lakeveil.sources.ingest import IngestResult, raise_on_failure
 from lakeveil.sources.store import MetadataStore
-from lakeveil.sources.workspace import checkpoint
+from lakeveil.sources.workspace import stored
 
 
 def isolate_failures(work: Callable[[list[str]], None], tables: list[str]) -> list[IngestResult]:
     """Run ``work`` on all tables in one go; if that fails, table by table.
 
-    One job for all is much cheaper, and a bad table then costs only itself.
+    One job for all is much cheaper; ``work`` must leave nothing behind where it fails.
     """
     try:
         work(tables)
@@ -66,7 +66,6 @@ def catalogue_namespace(
             rows = rows.select("*", *[F.lit(None).cast(t).alias(n) for n, t in empty.items()])
             rows = rows.select("*", F.lit(False).alias("scanned"), now.alias("created_at"), now.alias("updated_at"))
             store.append("columns_metadata", rows)
-            samples.unpersist()
         fresh = catalogue.new_tables(discovered, store.read("tables_metadata"))
         store.append("tables_metadata", fresh.select("*", now.alias("created_at"), now.alias("updated_at")))
 
@@ -74,29 +73,42 @@ def catalogue_namespace(
 
 
 def scan_namespace(
-    spark: SparkSession, store: MetadataStore, namespace: str, sample_size: int = profile.DEFAULT_SAMPLE_SIZE
+    spark: SparkSession,
+    store: MetadataStore,
+    namespace: str,
+    sample_size: int = profile.DEFAULT_SAMPLE_SIZE,
+    strict: bool = False,
 ) -> tuple[DataFrame, list[IngestResult]]:
-    """Classify every unscanned column; (summary, per-table report)."""
+    """Classify every unscanned column of the tables the catalogue lists; (summary, per-table report).
+
+    Only the detection is done in one go and, if that fails, table by table: a dropped or torn
+    table costs itself alone. What was found is stored, then written with one append to
+    the history and one update of the columns, in that order: a scan cut short between
+    them is repeated, and no column counts as scanned without a history row. With
+    ``strict``, failed tables raise an error after the others are written.
+    """
     rules = collect_rules(store.read("pii_categories"))
+    tables = store.read("tables_metadata").where(F.col("namespace") == namespace).select("table_name").distinct()
+    listed = {r.table_name for r in tables.collect()}  # one row per table
     pending = catalogue.unscanned_columns(store.read("columns_metadata").where(F.col("namespace") == namespace))
-    names = _names_by_table(pending)
-    scanned: list[DataFrame] = []
+    names = {t: columns for t, columns in _names_by_table(pending).items() if t in listed}
+    found: list[DataFrame] = []
 
-    def scan(chosen: list[str]) -> None:
-        tables = {t: catalog.load_table(spark, namespace, t) for t in chosen}
-        samples = profile.sample_tables(tables, {t: names[t] for t in chosen}, sample_size)
+    def detect(chosen: list[str]) -> None:
+        frames = {t: catalog.load_table(spark, namespace, t) for t in chosen}
+        samples = profile.sample_tables(frames, {t: names[t] for t in chosen}, sample_size)
         columns = pending.where(F.col("table_name").isin(*chosen)).select(*catalogue.COLUMN_KEY)
-        # The results outlive the update of the table they are derived from.
-        results = checkpoint(classify.classify(columns, samples, rules, with_samples=True))
-        # The update may be repeated safely; the history row, which may not, comes last.
-        store.replace("columns_metadata", catalogue.apply_classification(store.read("columns_metadata"), results))
-        store.append("pii_scan_record", catalogue.scan_records(results))
-        scanned.append(results)
-        samples.unpersist()
+        found.append(stored(classify.classify(columns, samples, rules, with_samples=True), "scan"))
 
-    report = isolate_failures(scan, list(names)) if names else []
-    results = profile.union_all(scanned) if scanned else _no_results(spark)
-    return catalogue.scan_summary(results), report
+    report = isolate_failures(detect, list(names)) if names else []
+    results = profile.union_all(found) if found else _no_results(spark)
+    if found:
+        store.append("pii_scan_record", catalogue.scan_records(results))
+        columns = store.read("columns_metadata").where(F.col("namespace") == namespace)
+        store.replace_namespace("columns_metadata", catalogue.apply_classification(columns, results), namespace)
+    if strict:
+        raise_on_failure(report)
+    return catalogue.scan_summary(results, len(listed)), report
 
 
 def _no_results(spark: SparkSession) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -134,6 +135,10 @@ def literal_frame(spark: SparkSession, columns: dict[str, list], schema: pa.Sche
     return spark.createDataFrame(pa.table(columns, schema=schema))
 
 
+# Only so many unknown codes are named in warnings; all are left out.
+_WARNED_CODES = 20
+
+
 def codes_frame(spark: SparkSession, codes: list[str], name: str = "code") -> DataFrame:
     """(id, code) with ids from 1 in the given order."""
     schema = pa.schema([("id", pa.int32()), (name, pa.string())])
@@ -205,8 +210,12 @@ def load_rules(categories: DataFrame) -> DataFrame:
 
 
 def collect_rules(categories: DataFrame) -> list[Rule]:
-    """The rules as plan-time values; at most one per known category code."""
-    rows = load_rules(categories).orderBy("rule_order").limit(len(CATEGORY_CODES) + 1).collect()
-    if len(rows) > len(CATEGORY_CODES):
-        raise ValueError("category codes must be unique")
+    """The rules as plan-time values. Codes must be unique, so there is at most one per known code."""
+    rules = load_rules(categories)
+    if not rules.groupBy("code").count().where("count > 1").isEmpty():
+        raise ValueError("two rules share a category code")
+    unknown = categories.where(~F.col("code").isin(*CATEGORY_CODES)).select("code").distinct()
+    for row in unknown.orderBy("code").take(_WARNED_CODES):
+        warnings.warn(f"no such category, rule left out: {row.code}", stacklevel=2)
+    rows = rules.orderBy("rule_order").collect()
     return [Rule(r.code, r.regex_pattern, list(r.column_name_aliases), r.sensitivity) for r in rows]

@@ -1,6 +1,6 @@
 """Small dimension tables behind the fixture generator.
 
-Wordings are our own; placeholders and PII flags follow the governed data model.
+The texts are invented; a text with a placeholder counts as one with personal data.
 All are fixed in size, so joining them never shuffles the generated rows.
 """
 
@@ -57,105 +57,76 @@ WARD_KINDS = ["Phường", "Xã"]
 WARD_FIRST = ["An", "Bình", "Cẩm", "Đông", "Hòa", "Long", "Minh", "Phú", "Tân", "Thanh", "Vĩnh", "Xuân"]
 WARD_SECOND = ["Hà", "Khê", "Lộc", "Mỹ", "Ninh", "Phong", "Quang", "Sơn", "Thủy", "Trung", "Yên"]
 
-REGIONS = ["Northeast", "Northwest", "Red River", "North Central", "South Central", "Highlands", "Southeast", "Delta"]
-UNITS = ["Municipality", "Province", "Ward", "Commune", "Island zone"]
+REGIONS = ["Northern uplands", "Northern plain", "Central coast", "Central uplands", "Southern plain", "Islands"]
+UNITS = ["City", "Province", "Ward", "Commune"]
 
-SERVICE_TYPES = [
-    "Cấp lại thẻ căn cước",
-    "Khai sinh",
-    "Thành lập doanh nghiệp",
-    "Kết hôn",
-    "Xin phép xây nhà",
-]
-RECORD_STATUSES = ["PENDING", "PROCESSING", "ADDITIONAL_INFO_REQUIRED", "APPROVED", "REJECTED"]
+SERVICE_TYPES = ["Đăng ký xe", "Cấp hộ chiếu", "Trợ cấp xã hội", "Đăng ký tạm trú"]
+RECORD_STATUSES = ["RECEIVED", "IN_REVIEW", "WAITING_FOR_CITIZEN", "GRANTED", "REFUSED", "WITHDRAWN"]
 
 # One note per (service, status), in that order; a placeholder marks personal data.
 CLERK_NOTES = [
-    "Hồ sơ gửi trực tuyến, chưa phân công người xử lý.",
-    "Đang so dữ liệu sinh trắc với hệ thống quốc gia.",
-    "Ảnh chân dung chưa đạt, mời chụp lại. Hẹn lịch qua số ${phone_number}.",
-    "Thẻ đã in xong và giao bưu điện phát.",
-    "Vân tay không khớp với dữ liệu gốc của CCCD ${national_id}.",
-    "Nhận hồ sơ giấy tại quầy. Người nộp: ${full_name}.",
-    "Đang hỏi bệnh viện về giấy chứng sinh.",
-    "Thiếu bản sao giấy tờ của cha, gửi bổ sung tới ${email}.",
-    "Đã trao bản chính và hai bản trích lục.",
-    "Không có giấy chứng sinh hay người làm chứng.",
-    "Nhận hồ sơ lập công ty mới qua cổng điện tử.",
-    "Đang xét tên công ty và ngành nghề.",
-    "Biên bản họp thiếu chữ ký, đã nhắn tới số ${phone_number}.",
-    "Hồ sơ đạt. Mã số doanh nghiệp mới: ${national_id}.",
-    "Tên công ty bị trùng, trả lệ phí vào STK ${bank_account}.",
-    "Nộp trực tiếp ở phường.",
-    "Đang niêm yết và xác minh nơi cư trú.",
-    "Cần bản gốc giấy độc thân của người có số định danh ${national_id}.",
-    "Đã trao giấy kết hôn cho hai bên.",
-    "Một bên còn trong quan hệ hôn nhân khác.",
-    "Nhận hồ sơ xin phép nhà ở riêng lẻ.",
-    "Cán bộ đang đo đạc tại hiện trường.",
-    "Bản vẽ thiếu phần thoát nước, nộp lại qua ${email}.",
-    "Giấy phép đã đóng dấu, mời nhận tại quầy.",
-    "Đất nằm trong quy hoạch công viên, hoàn phí vào tài khoản ${bank_account}.",
+    "Xe chuyển từ tỉnh khác đến, chủ xe ${full_name}.",
+    "Đối chiếu số khung và số máy.",
+    "Chờ chủ xe mang xe tới cà số.",
+    "Biển số mới, lệ phí hoàn vào ${bank_account}.",
+    "Xe thuộc diện phạt nguội chưa nộp.",
+    "Chủ xe đổi ý, rút lại giấy tờ.",
+    "Hẹn chụp ảnh ngày thứ ba.",
+    "Hộ chiếu cũ mang số ${national_id}, chờ hủy.",
+    "Nhắn ${phone_number} bổ sung ảnh nền trắng.",
+    "Giao tại nhà, ký nhận đủ.",
+    "Tên trên đơn sai dấu so với khai sinh.",
+    "Người nộp xin dời sang năm sau.",
+    "Trưởng thôn nộp thay cho ${full_name}.",
+    "Tổ công tác tới thăm hộ gia đình.",
+    "Chưa có xác nhận thu nhập của xã.",
+    "Chi trả hằng tháng qua tài khoản ${bank_account}, báo ${email}.",
+    "Hộ đã thoát nghèo từ quý trước.",
+    "Chuyển hưởng chế độ khác.",
+    "Chủ trọ khai báo ba người ở.",
+    "Công an khu vực kiểm tra buổi tối.",
+    "Hợp đồng thuê nhà hết hạn, hỏi lại qua ${email}.",
+    "Thời hạn hai năm, mã định danh ${national_id}.",
+    "Nhà thuê chưa đủ diện tích tối thiểu.",
+    "Đã chuyển đi nơi khác, số cũ ${phone_number}.",
 ]
 
-TX_TYPES = ["TRANSFER", "PAYMENT", "SALARY", "DEPOSIT", "WITHDRAWAL"]
+TX_TYPES = ["CARD", "WIRE", "CASH_IN", "CASH_OUT", "BILL", "REFUND", "FEE"]
 TX_MESSAGES = [
-    "Tra tien com trua",
-    "Dong tien nha thang nay",
-    "Mua may tinh moi",
-    "Gop tien ca phe",
-    "Tien dien va nuoc",
-    "Luong thang nay",
-    "Dat coc, goi lai so ${phone_number}",
-    "Xuat hoa don theo MST ${tax_id}",
-    "Chuyen giup vao STK ${bank_account}",
-    "Gui bien lai ve ${email}",
-    "Giao hang thi goi ${phone_number}",
-    "Phi dich vu, tai khoan nhan ${bank_account}",
+    "ve xem phim cuoi tuan",
+    "hoan tien don hang, nhan tai ${bank_account}",
+    "hoc phi lop ve",
+    "thue xe ${phone_number} ba ngay",
+    "mung cuoi",
+    "nop thue thang, ma ${tax_id}",
+    "sua mai nha",
+    "dang ky su kien, ve gui ${email}",
+    "tien gui xe quy nay",
 ]
 FRAUD_NOTES = [
-    "Không có dấu hiệu lạ, khớp hồ sơ khách hàng.",
-    "Nhận tiền nhiều lần trong ngày nhưng còn trong hạn mức.",
-    "Rủi ro thấp, bỏ qua cảnh báo.",
-    "Chủ tài khoản đã gọi xác nhận, gỡ phong tỏa.",
-    "Thiết bị mới, sinh trắc học hợp lệ.",
-    "Nghi rửa tiền, cần xác minh CCCD ${national_id} tại quầy.",
-    "Đăng nhập từ nước ngoài, mã mở khóa gửi tới ${phone_number}.",
-    "Khách báo chuyển nhầm, tạm khóa STK ${bank_account}.",
-    "Nghi hoàn thuế khống, báo cáo MST ${tax_id} và nhắn ${email}.",
-    "Số ${phone_number} từng bị tố lừa đảo, CCCD mở tài khoản là ${national_id}.",
-    "Email đăng ký ${email} không khớp email hiện tại.",
+    "Ba máy rút tiền khác nhau trong mười phút, thẻ của ${national_id}.",
+    "Chuỗi lệnh nhỏ lẻ tới ${bank_account} ngay sau nửa đêm.",
+    "Cảnh báo do đổi múi giờ, đóng lại.",
+    "Cửa hàng mang mã thuế ${tax_id} đã ngừng hoạt động.",
+    "Người gọi tự xưng nhân viên, để lại số ${phone_number}.",
+    "Mẫu chữ ký lệch nhẹ, chấp nhận.",
+    "Thư giả mạo gửi từ ${email}, chưa mất tiền.",
+    "Giao dịch trùng do lỗi mạng.",
 ]
 
-DEPARTMENTS = [
-    "Nhân sự",
-    "Kế toán",
-    "Bán hàng",
-    "Tiếp thị",
-    "Công nghệ",
-    "Hành chính",
-    "Nghiên cứu",
-    "Nhà máy",
-    "Pháp lý",
-    "Chăm sóc khách",
-]
+DEPARTMENTS = ["Kho vận", "Thiết kế", "Mua hàng", "An ninh", "Bảo trì", "Chất lượng", "Đào tạo"]
 HR_REMARKS = [
-    "Vượt chỉ tiêu quý, đề nghị tăng lương.",
-    "Đã ký hợp đồng chính thức.",
-    "Xin nghỉ không lương hai tuần.",
-    "Chuyển sang phòng tiếp thị.",
-    "Đánh giá năm: xuất sắc.",
-    "Đang thử việc.",
-    "Xong khóa đào tạo an toàn thông tin.",
-    "Nghỉ thai sản sáu tháng.",
-    "Hợp đồng sắp hết hạn.",
+    "Làm ca đêm đến hết mùa.",
+    "Báo tin cho ${emergency_name} khi cần.",
+    "Được cấp xe máy của công ty.",
     "",
-    "STK nhận lương mới: ${bank_account}.",
-    "Người thân: ${emergency_name}, số ${phone_number}.",
-    "Mất thẻ CCCD ${national_id}, chờ cấp lại.",
-    "Gửi phiếu lương qua ${email}.",
-    "Cập nhật MST ${tax_id}.",
-    "Lương chuyển vào STK ${bank_account}, xác nhận qua ${phone_number}.",
+    "Sổ thuế ghi sai, đúng là ${tax_id}.",
+    "Tập huấn phòng cháy tháng tới.",
+    "Hoàn công tác phí về ${bank_account}, biên nhận gửi ${email}.",
+    "Thẻ ra vào gắn với ${national_id}.",
+    "Số liên lạc mới ${phone_number}.",
+    "Nhường suất đào tạo cho tổ khác.",
+    "Dị ứng phấn hoa, tránh việc ngoài vườn.",
 ]
 
 FAMILY_NAMES = ["Nguyễn", "Trần", "Lê", "Phạm", "Hoàng", "Phan", "Vũ", "Đặng", "Bùi", "Đỗ", "Hồ", "Ngô"]

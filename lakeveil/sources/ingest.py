@@ -52,12 +52,25 @@ def create_namespace(spark: SparkSession, namespace: str, location: str | None =
 
 
 def write_table(df: DataFrame, table: str, table_format: str = "parquet") -> None:
-    """Create or replace ``table``. Iceberg replaces atomically; the built-in
-    catalog has no REPLACE, so there the table is overwritten."""
+    """Create or replace ``table``. Iceberg replaces atomically. The built-in catalog has no
+    REPLACE: the rows are written under another name first, so a failing load leaves the
+    old table as it was, and then the names change hands."""
     if table_format == "iceberg":
         df.writeTo(table).using("iceberg").tableProperty("format-version", "2").createOrReplace()
-    else:
-        df.write.mode("overwrite").format(table_format).saveAsTable(table)
+        return
+    spark = df.sparkSession
+    finish_swap(spark, table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}__next")
+    df.write.format(table_format).saveAsTable(f"{table}__next")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    finish_swap(spark, table)
+
+
+def finish_swap(spark: SparkSession, table: str) -> None:
+    """Give the next version its name, if the old one is gone."""
+    exists = spark.catalog.tableExists
+    if exists(f"{table}__next") and not exists(table):
+        spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
 
 
 def ingest_table(
@@ -121,8 +134,11 @@ def raise_on_failure(results: list[IngestResult]) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with a header; quotes are doubled. Empty texts are read back as NULL."""
-    df.write.mode("error").option("header", True).option("escape", '"').csv(path)
+    """CSV part files with a header; quotes are doubled, times keep their microseconds. Empty
+    texts are read back as NULL."""
+    writer = df.write.mode("error").option("header", True).option("escape", '"')
+    writer = writer.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
 
 
 def export_parquet(df: DataFrame, path: str) -> None:

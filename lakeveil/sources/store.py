@@ -1,17 +1,19 @@
 """The metadata store: managed tables in one namespace of the Spark catalog.
 
-Appends are plain inserts. An update writes the table's next version under
-another name and then swaps names, because a table must not be overwritten
-while it is read; ``open`` finishes a swap that was cut short.
+Appends are plain inserts. An update replaces the partition of one namespace, by rows that
+were stored before; ``open`` creates what is missing and finishes a swap of an
+earlier version that was cut short.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeveil.plans import seeds
-from lakeveil.sources.ingest import create_namespace
+from lakeveil.sources.ingest import create_namespace, finish_swap
+from lakeveil.sources.workspace import stored
 
 _TABLES = {
     "tables_metadata": "table_id string, namespace string, table_name string, created_at timestamp,"
@@ -43,17 +45,17 @@ class MetadataStore:
     def _name(self, table: str) -> str:
         return f"{self.namespace}.{table}"
 
-    def _next(self, table: str) -> str:
-        return self._name(f"{table}__next")
-
     def open(self, location: str | None = None) -> "MetadataStore":
         """Create what is missing, seeds included."""
         create_namespace(self.spark, self.namespace, location)
         for table, columns in _TABLES.items():
-            self._finish_swap(table)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({columns}) USING {self.table_format}")
+            finish_swap(self.spark, self._name(table))
+            parts = " PARTITIONED BY (namespace)" if " namespace " in columns else ""
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self._name(table)} ({columns}) USING {self.table_format}{parts}"
+            )
         for table, frame in _SEEDS.items():
-            self._finish_swap(table)
+            finish_swap(self.spark, self._name(table))
             if not self.spark.catalog.tableExists(self._name(table)):
                 frame(self.spark).write.format(self.table_format).saveAsTable(self._name(table))
         return self
@@ -67,18 +69,18 @@ class MetadataStore:
     def append(self, table: str, rows: DataFrame) -> None:
         rows.select(*self.schema(table).names).write.insertInto(self._name(table))
 
-    def replace(self, table: str, rows: DataFrame) -> None:
-        """Put ``rows``, which may be derived from the table itself, in its place."""
-        ordered = rows.select(*self.schema(table).names)
+    def replace_namespace(self, table: str, rows: DataFrame, namespace: str) -> None:
+        """Put ``rows``, which may be derived from the table itself, in place of those of ``namespace``.
+
+        Tables with a namespace are partitioned by it: other namespaces are not touched, so
+        updates of different ones may run at once. The rows are stored before anything is
+        replaced, and Spark moves the partition in as its last step.
+        """
+        ordered = rows.where(F.col("namespace") == namespace).select(*self.schema(table).names)
         if self.table_format == "iceberg":
-            ordered.writeTo(self._name(table)).using("iceberg").createOrReplace()
+            ordered.writeTo(self._name(table)).overwritePartitions()
             return
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._next(table)}")
-        ordered.write.format(self.table_format).saveAsTable(self._next(table))
-        self.spark.sql(f"DROP TABLE {self._name(table)}")
-        self.spark.sql(f"ALTER TABLE {self._next(table)} RENAME TO {self._name(table)}")
-
-    def _finish_swap(self, table: str) -> None:
-        exists = self.spark.catalog.tableExists
-        if exists(self._next(table)) and not exists(self._name(table)):
-            self.spark.sql(f"ALTER TABLE {self._next(table)} RENAME TO {self._name(table)}")
+        ordered = stored(ordered, table)
+        writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.insertInto(self._name(table))
+        self.spark.catalog.refreshTable(self._name(table))

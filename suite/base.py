@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeveil.operators import profile
-from lakeveil.sources.ingest import create_namespace
+from lakeveil.plans import jobs
+from lakeveil.sources.ingest import create_namespace, raise_on_failure
+from lakeveil.sources.store import MetadataStore
 from lakeveil.sources.workspace import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,8 +77,6 @@ TABLES = {
     "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
 }
 ALL = list(TABLES)
-# The tables with columns that some rule recognises.
-CORE = ["nation", "customer", "supplier", "part", "orders", "documents"]
 
 
 def query(oracle: str | None = None, name: str | None = None):
@@ -111,6 +111,21 @@ def raw_namespace(spark: SparkSession, sf_dir: str, names: list[str] = ALL) -> s
     return namespace
 
 
+# The tables that the governed reads go to.
+GOVERNED = ["customer", "supplier", "part", "orders"]
+
+
+def governed_store(spark: SparkSession, sf_dir: str) -> tuple[MetadataStore, str]:
+    """(store, namespace): these tables catalogued and scanned once a session; reads take their plan from the store."""
+    raw = raw_namespace(spark, sf_dir, GOVERNED)
+    store = MetadataStore(spark, f"gov_{raw}")
+    if not spark.catalog.databaseExists(store.namespace):
+        fresh = MetadataStore(spark, f"gov_{raw}").open(new_folder(spark, store.namespace))
+        raise_on_failure(jobs.catalogue_namespace(spark, fresh, raw))
+        jobs.scan_namespace(spark, fresh, raw, strict=True)
+    return store, raw
+
+
 def profiled(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple[DataFrame, DataFrame]:
     """(columns, samples) of the named tables."""
     frames = tables(spark, sf_dir, names)
@@ -153,6 +168,7 @@ def samples_cte(names: list[str], k: int = 50, only: dict[str, list[str]] | None
     )
 
 
+# The rules and policies, as plain SQL.
 RULES_CTE = """rules(rule_order, code, pattern, aliases, level) as (values
 (1, 'NATIONAL_ID', '[0-9]{12}',
  ['cccd','cmnd','citizenid','nationalid','identitynumber','personalid'], 'HIGH'),
@@ -237,4 +253,6 @@ def keep_ends_sql(v: str, head: int, tail: int) -> str:
 
 def email_sql(v: str) -> str:
     kept = f"substr(split_part({v}, '@', 1), 1, 1) || '***@' || split_part({v}, '@', -1)"
-    return f"case when contains({v}, '@') then {kept} else {partial_sql(v)} end"
+    # The address pattern is a fixed value, as in the rules.
+    one = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
+    return f"case when regexp_full_match({v}, '{one}') then {kept} else {partial_sql(v)} end"

@@ -15,7 +15,6 @@ from lakeveil.sources.store import MetadataStore
 from lakeveil.sources.workspace import new_folder
 from suite.base import (
     ALL,
-    CORE,
     POLICIES_CTE,
     RULES_CTE,
     TABLES,
@@ -66,15 +65,13 @@ def ingest_row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select c_custkey, true as stamped, true as same_for_all from customer")
 def ingest_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = ingest.stamp(table(spark, sf_dir, "customer"))
-    first = stamped.agg(F.min(ingest.INGESTED_AT).alias("lo"), F.max(ingest.INGESTED_AT).alias("hi"))
-    return stamped.join(F.broadcast(first), F.col(ingest.INGESTED_AT).between(F.col("lo"), F.col("hi"))).select(
-        "c_custkey",
-        F.col(ingest.INGESTED_AT).isNotNull().alias("stamped"),
-        (F.col("lo") == F.col("hi")).alias("same_for_all"),
+    stamps = stamped.agg(F.count_distinct(ingest.INGESTED_AT)).first()[0]
+    return stamped.select(
+        "c_custkey", F.col(ingest.INGESTED_AT).isNotNull().alias("stamped"), F.lit(stamps == 1).alias("same_for_all")
     )
 
 
-@query("select event_id, user_id, event_type, value, props, true as stamped from events")
+@query("select event_id, epoch_us(ts) as ts_micros, user_id, event_type, value, props, true as stamped from events")
 def ingest_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV to a table, twice: the second load replaces the first."""
     folder, namespace = _csv_copy(spark, sf_dir, ["events"]), _own_namespace(spark, "written")
@@ -82,7 +79,8 @@ def ingest_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         ingest.ingest_table(spark, f"{folder}/events.csv", schema, f"{namespace}.events")
     return spark.table(f"{namespace}.events").select(
-        "event_id", "user_id", "event_type", "value", "props", F.col(ingest.INGESTED_AT).isNotNull().alias("stamped")
+        "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_micros"), "user_id", "event_type", "value",
+        "props", F.col(ingest.INGESTED_AT).isNotNull().alias("stamped")
     )
 
 
@@ -154,10 +152,10 @@ def namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice from lineitem")
+@query("select * replace (l_shipdate::varchar as l_shipdate) from lineitem")
 def load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = catalog.load_table(spark, raw_namespace(spark, sf_dir), "lineitem")
-    return loaded.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return loaded.withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 
 @query(f"with {columns_cte(ALL)}, counts as ({_COUNTS}) select table_name, ordinal, column_name, data_type, row_count"
@@ -196,7 +194,7 @@ def register_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _REGISTERED = (
-    f"with {columns_cte(CORE)}, {samples_cte(CORE)}, arrays as (select table_name, column_name,"
+    f"with {columns_cte(ALL)}, {samples_cte(ALL)}, arrays as (select table_name, column_name,"
     " to_json(list(sample_value order by sample_rank))::varchar as sample_values from samples group by all)"
     " select md5('raw' || chr(31) || table_name || chr(31) || column_name) as column_id, table_name, column_name,"
     " data_type, sample_values from cols left join arrays using (table_name, column_name)"
@@ -206,7 +204,7 @@ _REGISTERED = (
 @query(f"{_REGISTERED} where table_name <> 'supplier' and (table_name <> 'customer' or column_name = 'c_mktsegment')")
 def register_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the columns that the catalogue lacks are sampled and added."""
-    frames = tables(spark, sf_dir, CORE)
+    frames = tables(spark, sf_dir, ALL)
     discovered = profile.schema_frame(frames, "raw")
     registered = discovered.where("table_name = 'supplier' or (table_name = 'customer' and column_name <> 'c_mktsegment')")
     fresh = catalogue.new_columns(discovered, registered)
@@ -219,7 +217,7 @@ def register_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_REGISTERED)
 def attach_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns, samples = profiled(spark, sf_dir, CORE)
+    columns, samples = profiled(spark, sf_dir, ALL)
     rows = catalogue.attach_samples(columns, profile.samples_as_arrays(samples))
     return rows.select(
         catalogue.name_id(*catalogue.COLUMN_KEY).alias("column_id"),
@@ -230,11 +228,11 @@ def attach_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_CLASSIFIED = classified_ctes(CORE)
+_CLASSIFIED = classified_ctes(ALL)
 
 
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.classify(*profiled(spark, sf_dir, CORE), with_samples=True)
+    return classify.classify(*profiled(spark, sf_dir, ALL), with_samples=True)
 
 
 def _catalogued(results: DataFrame) -> DataFrame:
@@ -315,7 +313,7 @@ def scan_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {_CLASSIFIED} select count(distinct table_name) as tables_processed, count(*) as columns_scanned,"
        " count(category) as pii_detected, count(*) - count(category) as unsure, 0::bigint as clean from classified")
 def scan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalogue.scan_summary(_results(spark, sf_dir))
+    return catalogue.scan_summary(_results(spark, sf_dir), len(ALL))
 
 
 @query(f"with {_CLASSIFIED} select table_name, column_name, confidence from classified"
@@ -402,3 +400,28 @@ def table_failure_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = ingest.report(spark, jobs.catalogue_namespace(spark, store, raw))
     counts = _row_counts({n: catalog.load_table(spark, raw, n) for n in names})
     return report.select("table_name", "status").join(counts, "table_name", "left")
+
+
+@query("select 'customer' as table_name, 'LOADED' as status, count(*) as row_count, 5::bigint as records from customer"
+       " union all select 'supplier', 'LOADED', count(*), 4 from supplier"
+       " union all select 'nation', 'LOADED', count(*), 3 from nation"
+       " union all select 'dropped', 'FAILED', null, null union all select 'torn', 'FAILED', null, null")
+def scan_failure_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After cataloguing, one table is dropped and one loses its data; the others are scanned, with their history."""
+    raw, names = _own_namespace(spark, "scanned"), ["customer", "supplier", "nation"]
+    for name in names:
+        spark.sql(f"CREATE TABLE {raw}.{name} USING parquet LOCATION '{sf_dir}/{name}.parquet'")
+    spark.sql(f"CREATE TABLE {raw}.dropped USING parquet LOCATION '{sf_dir}/region.parquet'")
+    spark.sql(f"CREATE TABLE {raw}.torn USING parquet LOCATION '{sf_dir}/region.parquet'")
+    namespace = f"gov_{uuid.uuid4().hex[:12]}"
+    store = MetadataStore(spark, namespace).open(new_folder(spark, namespace))
+    jobs.catalogue_namespace(spark, store, raw)
+    spark.sql(f"DROP TABLE {raw}.dropped")
+    broken = _csv_copy(spark, sf_dir, ["region"]) + "/region.csv"
+    spark.sql(f"ALTER TABLE {raw}.torn SET LOCATION '{broken}'")
+    _, results = jobs.scan_namespace(spark, store, raw)
+    report = ingest.report(spark, results).select("table_name", "status")
+    records = store.read("pii_scan_record").join(store.read("columns_metadata").select("column_id", "table_name"), "column_id")
+    records = records.groupBy("table_name").agg(F.count(F.lit(1)).alias("records"))
+    counts = _row_counts({n: catalog.load_table(spark, raw, n) for n in names})
+    return report.join(counts, "table_name", "left").join(records, "table_name", "left")

@@ -114,7 +114,7 @@ citizens as (select (row_id + 1)::int as citizen_id, {_name((0, 0), (0, 1), (0,
   {_email((2, 2), (3, 0), (3, 2))} as email, {_BIRTH} as birth_date, {_ADDRESS} as address,
   {_pick(dim.JOBS, 4, 0)} as occupation from warded)"""
 
-_NOTE_INDEX = f"{_number(0, 0)} % 25"
+_NOTE_INDEX = f"{_number(0, 0)} % {len(dim.CLERK_NOTES)}"
 _NOTE = _rendered(
     f"{_list(dim.CLERK_NOTES)}[{_NOTE_INDEX} + 1]",
     {
@@ -127,13 +127,13 @@ _NOTE = _rendered(
 )
 RECORD_SQL = f"""with {_rows('administrative_record', 6)},
 records as (select (row_id + 1)::int as record_id,
-  {_list(dim.SERVICE_TYPES)}[{_NOTE_INDEX} // 5 + 1] as service_type,
+  {_list(dim.SERVICE_TYPES)}[{_NOTE_INDEX} // {len(dim.RECORD_STATUSES)} + 1] as service_type,
   {_name((0, 1), (0, 2), (0, 3))} as applicant_name, '0' || {_digits(11, 1, 0)} as cccd_number,
   date '2026-01-01' - ({_number(1, 2)} % 731)::int as submission_date,
-  {_list(dim.RECORD_STATUSES)}[{_NOTE_INDEX} % 5 + 1] as status, {_NOTE} as clerk_notes from rows)"""
+  {_list(dim.RECORD_STATUSES)}[{_NOTE_INDEX} % {len(dim.RECORD_STATUSES)} + 1] as status, {_NOTE} as clerk_notes from rows)"""
 
 _MESSAGE = _rendered(
-    f"{_list(dim.TX_MESSAGES)}[{_number(0, 0)} % 12 + 1]",
+    f"{_list(dim.TX_MESSAGES)}[{_number(0, 0)} % {len(dim.TX_MESSAGES)} + 1]",
     {
         "bank_account": _account((5, 1), (5, 2)),
         "email": _email((6, 0), (6, 1), (6, 3)),
@@ -142,7 +142,7 @@ _MESSAGE = _rendered(
     },
 )
 _FRAUD = _rendered(
-    f"{_list(dim.FRAUD_NOTES)}[{_number(0, 1)} % 11 + 1]",
+    f"{_list(dim.FRAUD_NOTES)}[{_number(0, 1)} % {len(dim.FRAUD_NOTES)} + 1]",
     {
         "bank_account": _account((8, 2), (9, 0)),
         "email": _email((9, 2), (10, 0), (10, 2)),
@@ -160,7 +160,7 @@ transactions as (select (row_id + 1)::int as tx_id,
   case when {_unit(0, 2)} <= 0.008::double then {_FRAUD} end as fraud_notes from rows)"""
 
 _REMARK = _rendered(
-    f"{_list(dim.HR_REMARKS)}[{_number(0, 0)} % 16 + 1]",
+    f"{_list(dim.HR_REMARKS)}[{_number(0, 0)} % {len(dim.HR_REMARKS)} + 1]",
     {
         "bank_account": _account((4, 2), (5, 0)),
         "email": _email((5, 2), (6, 0), (6, 2)),
@@ -303,11 +303,20 @@ def join_note_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.groupBy("service_type", "status").agg(F.count(F.lit(1)).alias("records"))
 
 
+# How many entries each dimension has.
+_ENTRIES = {
+    "administrative_regions": 6, "administrative_units": 4, "provinces": 34, "wards": 3321, "service_types": 4,
+    "record_statuses": 6, "clerk_notes_templates": 24, "tx_types": 7, "tx_message_templates": 9,
+    "fraud_note_templates": 8, "departments": 7, "hr_remarks_templates": 11,
+}
+_ENTRY_ROWS = ", ".join(f"('{k}', {v}::bigint)" for k, v in _ENTRIES.items())
+
+
 @query(f"""{HR_SQL}, used as (select 'departments' as dimension, count(distinct department) as used from employees
-union all select 'hr_remarks_templates', count(distinct {_number(0, 0)} % 16) from rows)
-select dimension, case dimension when 'departments' then 10 else 16 end::bigint as entries, used from used""")
+union all select 'hr_remarks_templates', count(distinct {_number(0, 0)} % {len(dim.HR_REMARKS)}) from rows)
+select dimension, entries, used from (values {_ENTRY_ROWS}) e(dimension, entries) left join used using (dimension)""")
 def dimension_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many entries of the HR dimensions the generated employees use."""
+    """All dimensions, and how many entries of the HR ones the generated employees use."""
     draws = Draws()
     index = draws.below(len(dim.HR_REMARKS))
     rows = draws.attach(ids(spark, sf_dir, "part").toDF(ROW_ID), SEED, "hr_employee")
@@ -316,7 +325,7 @@ def dimension_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     used = departments.select(F.lit("departments").alias("dimension"), "used").unionAll(
         remarks.select(F.lit("hr_remarks_templates"), "used")
     )
-    return used.join(dim.dimension_entries(spark), "dimension").select("dimension", "entries", "used")
+    return dim.dimension_entries(spark).join(used, "dimension", "left").select("dimension", "entries", "used")
 
 
 @query(f"{HR_SQL} select 'hr_employee' as table_name, k as column_name, t as data_type, n as non_null from (select unnest(["

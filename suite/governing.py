@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeveil.functions import masks
-from lakeveil.operators import classify, governed, policy
+from lakeveil.operators import catalogue, classify, governed, policy
 from lakeveil.operators.generate import generate_for
 from lakeveil.operators.governed import ColumnAction
-from lakeveil.plans import seeds
+from lakeveil.plans import jobs, seeds
 from lakeveil.sources.workspace import new_folder
 from lakeveil.streaming.governed_stream import write_governed
 from suite.base import (
-    CORE,
+    ALL,
     POLICIES_CTE,
     classified_ctes,
     email_sql,
+    governed_store,
     keep_ends_sql,
     partial_sql,
     profiled,
@@ -109,7 +110,7 @@ def mask_replace_char(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ policy
 
-_CLASSIFIED = classified_ctes(CORE)
+_CLASSIFIED = classified_ctes(ALL)
 _PLAN = (
     f"with {_CLASSIFIED}, {POLICIES_CTE}, fanned as (select unnest(['ADMIN', 'ANALYST', 'AUDITOR']) as role_name, *"
     " from classified), plan as (select f.role_name, f.namespace, f.table_name, f.column_name, f.category, f.sensitivity,"
@@ -119,7 +120,7 @@ _PLAN = (
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.classify(*profiled(spark, sf_dir, CORE))
+    return classify.classify(*profiled(spark, sf_dir, ALL))
 
 
 def _plan(spark: SparkSession, sf_dir: str, roles: list[str]) -> DataFrame:
@@ -179,14 +180,10 @@ def access_policy_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ governed reads
 
 
-def _actions(spark: SparkSession, sf_dir: str, name: str, role: str) -> dict[str, ColumnAction]:
-    """The role's plan for one table, from a classification of its data."""
-    found = classify.classify(*profiled(spark, sf_dir, [name]))
-    return governed.collect_actions(policy.access_plan(found, seeds.access_policies(spark), [role]))
-
-
 def _governed(spark: SparkSession, sf_dir: str, name: str, role: str, columns: list[str] | None = None) -> DataFrame:
-    return governed.govern(table(spark, sf_dir, name), _actions(spark, sf_dir, name, role), columns)
+    """The table as the role sees it, by the plan in the stored catalogue."""
+    store, raw = governed_store(spark, sf_dir)
+    return jobs.governed_table(spark, store, raw, name, role, columns)
 
 
 @query("select sha256(c_custkey::varchar) as c_custkey, sha256(c_name) as c_name, c_nationkey, c_acctbal, c_mktsegment"
@@ -249,24 +246,48 @@ def governed_uncatalogued(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passed.unionByName(strict, allowMissingColumns=True)
 
 
-def _masked_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    orders = _governed(spark, sf_dir, "orders", "ANALYST", ["o_orderkey", "o_custkey", "o_totalprice"])
-    customers = _governed(spark, sf_dir, "customer", "ANALYST", ["c_custkey", "c_mktsegment"])
-    return orders, customers
+def _masked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _governed(spark, sf_dir, "orders", "ANALYST", ["o_orderkey", "o_custkey", "o_totalprice"])
 
 
 @query("select o_orderkey, sha256(o_custkey::varchar) as o_custkey, o_totalprice, sha256(c_custkey::varchar) as c_custkey,"
        " c_mktsegment from orders join customer on sha256(o_custkey::varchar) = sha256(c_custkey::varchar)")
 def governed_hash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return governed.masked_join(*_masked_sides(spark, sf_dir), "o_custkey", "c_custkey")
+    customers = _governed(spark, sf_dir, "customer", "ANALYST", ["c_custkey", "c_mktsegment"])
+    return governed.masked_join(_masked_orders(spark, sf_dir), customers, "o_custkey", "c_custkey")
+
+
+@query("select a.o_orderkey, a.o_custkey, b.orders from (select o_orderkey, sha256(o_custkey::varchar) as o_custkey from"
+       " orders) a left join (select sha256(o_custkey::varchar) as o_custkey, count(*) as orders from orders"
+       " where o_totalprice > 200000 group by 1) b using (o_custkey)")
+def governed_same_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An outer join whose key has one name on both sides: each order with its customer's large orders."""
+    orders = _masked_orders(spark, sf_dir)
+    large = governed.group_by_masked(orders.where("o_totalprice > 200000"), "o_custkey", orders="count(1)")
+    met = governed.masked_join(orders, large, "o_custkey", "o_custkey", "left")
+    return met.select("l.o_orderkey", "l.o_custkey", "r.orders")
+
+
+@query(f"with {POLICIES_CTE} select role_name, sensitivity, action, masking_function,"
+       " (case role_name when 'ADMIN' then 1 when 'ANALYST' then 2 else 3 end)::int as role_name_id,"
+       " (case masking_function when 'PARTIAL_MASK' then 1 when 'HASH_MASK' then 2 when 'REDACT' then 3"
+       " when 'NULLIFY' then 4 end)::int as masking_function_id, (select count(*) from customer) as customers from policies")
+def policy_code_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policies of the stored catalogue with the ids of their role and masking function, next to the rows they guard."""
+    store, raw = governed_store(spark, sf_dir)
+    found = catalogue.policies_with_ids(*[store.read(t) for t in ("access_policies", "roles", "masking_functions")])
+    customers = spark.table(f"{raw}.customer").count()
+    return found.select(
+        "role_name", "sensitivity", "action", "masking_function", "role_name_id", "masking_function_id",
+        F.lit(customers).alias("customers"),
+    )
 
 
 @query("select sha256(o_custkey::varchar) as o_custkey, count(*) as orders,"
        " round(sum(o_totalprice::decimal(18,2)), 2)::double as total from orders group by 1")
 def governed_group_by(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, _ = _masked_sides(spark, sf_dir)
     return governed.group_by_masked(
-        orders, "o_custkey", orders="count(1)", total="cast(sum(cast(o_totalprice as decimal(18,2))) as double)"
+        _masked_orders(spark, sf_dir), "o_custkey", orders="count(1)", total="cast(sum(cast(o_totalprice as decimal(18,2))) as double)"
     )
 
 

@@ -13,7 +13,6 @@ from suite.base import (
     ALL,
     CLASSIFIED_CTE,
     COMBINED_CTE,
-    CORE,
     NORMALIZED,
     RULES_CTE,
     TABLES,
@@ -95,17 +94,29 @@ def words_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _words(spark, sf_dir).withColumn("normalized", normalize_name(F.col("column_name")))
 
 
-def _alias_query(spark: SparkSession, sf_dir: str, condition) -> DataFrame:
+_TOKENS = (
+    "words as (select distinct column_name from (select unnest(regexp_extract_all(text, '[A-Za-z]+')) as column_name"
+    " from documents union all select column_name from cols))"
+)
+
+
+def _alias_query(spark: SparkSession, sf_dir: str, condition, words: DataFrame | None = None) -> DataFrame:
     """(column_name, category): every rule whose aliases meet the name."""
+    words = _words(spark, sf_dir) if words is None else words
     hits = ", ".join(f"case when {condition('normalized', r.aliases)} then '{r.code}' end" for r in seeds.RULES)
-    names = _words(spark, sf_dir).withColumn("normalized", normalize_name(F.col("column_name")))
+    names = words.withColumn("normalized", normalize_name(F.col("column_name")))
     return names.selectExpr("column_name", f"explode(array({hits})) as category").where("category is not null")
 
 
-@query(f"with {_WORD_CTES} select column_name, code as category from words join rules"
+@query(f"with {columns_cte(ALL)}, {_TOKENS}, {RULES_CTE} select column_name, code as category from words join rules"
        f" on list_contains(aliases, {NORMALIZED.format('column_name')})")
 def alias_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _alias_query(spark, sf_dir, alias_exact_sql)
+    """Runs of letters as names: parts of addresses and such are aliases as they stand."""
+    tokens = table(spark, sf_dir, "documents").select(
+        F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("column_name")
+    )
+    columns = profile.schema_frame(tables(spark, sf_dir, ALL), "raw").select("column_name")
+    return _alias_query(spark, sf_dir, alias_exact_sql, tokens.unionAll(columns).distinct())
 
 
 @query(f"with {_WORD_CTES} select column_name, code as category from words join rules"
@@ -152,20 +163,20 @@ def best_regex_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------- classification
 
 _EVIDENCE = ", ".join(
-    [columns_cte(CORE), samples_cte(CORE), RULES_CTE, name_hits_cte(), regex_hits_cte(), COMBINED_CTE]
+    [columns_cte(ALL), samples_cte(ALL), RULES_CTE, name_hits_cte(), regex_hits_cte(), COMBINED_CTE]
 )
 _RESULT = "table_name, column_name, category, confidence, detection_method, sensitivity"
 
 
 @query(f"with {_EVIDENCE} select {_RESULT} from combined")
 def combine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = classify.detect(*profiled(spark, sf_dir, CORE))
+    found = classify.detect(*profiled(spark, sf_dir, ALL))
     return classify.combine(found).select(*_RESULT.split(", "))
 
 
 @query(f"with {_EVIDENCE}, {CLASSIFIED_CTE} select {_RESULT} from classified where confidence < 0.7")
 def threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = classify.combine(classify.detect(*profiled(spark, sf_dir, CORE)))
+    found = classify.combine(classify.detect(*profiled(spark, sf_dir, ALL)))
     return classify.apply_threshold(found).where("confidence < 0.7D").select(*_RESULT.split(", "))
 
 

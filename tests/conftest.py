@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from suite.compare import local_session
 
-    return local_session(app="tests")
+    return local_session(os.environ.get("TEST_CPUS", "8"), app="tests")
 
 
 @pytest.fixture(scope="session")
