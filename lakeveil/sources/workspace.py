@@ -38,9 +38,9 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: it is computed once,
     survives lost executors, and later plans know its size."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
