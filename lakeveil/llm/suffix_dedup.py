@@ -415,26 +415,25 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, max_group: int = MAX_GRO
     places = sketch.join(firsts.hint("merge"), ROW).select(*ROW, F.explode("hashes").alias("hash"))
     often = places.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
     wanted = places.join(often.hint("merge"), "hash").groupBy(*ROW).agg(F.collect_list("hash").alias("hashes"))
-    found = stored(contexts(docs, wanted, length), "suffix-contexts")
+    # Neighbouring contexts overlap, which zstd finds and the faster codecs don't.
+    found = stored(contexts(docs, wanted, length), "suffix-contexts", compression="zstd")
 
     shape = found.groupBy("hash").agg(
-        F.count(F.lit(1)).alias("n"), F.min("digest").alias("least"), F.max("digest").alias("most"),
-        F.approx_count_distinct("digest").alias("different"),
-    )
-    shape = stored(shape.withColumn("alike", F.col("least") == F.col("most")), "suffix-groups")
+        F.min("digest").alias("least"), F.max("digest").alias("most"), F.approx_count_distinct("digest").alias("different")
+    )
     # Contexts that occur twice repeat whole. Of the others each group keeps one copy of every different context.
     kinds = found.groupBy("hash", "digest").agg(F.count(F.lit(1)).alias("copies"), F.any_value("starts").alias("starts"))
     whole = kinds.where("copies > 1").select("hash", "digest", F.lit(0).alias("first"), (F.col("starts") - 1).alias("last"))
-    mixed_groups = shape.where("NOT alike").select("hash", (F.col("different") > max_group).alias("large"))
-    open_rows = found.join(mixed_groups.hint("merge"), "hash")
-    distinct = open_rows.groupBy("hash", "digest").agg(
-        *[F.any_value(c).alias(c) for c in ("context", "place", "starts", "large")]
-    )
-    distinct = stored(distinct, "suffix-open")
-    parts = repeated_in_groups(distinct.where("NOT large"), length)
-    large = distinct.where("large")
-    if not large.isEmpty():
-        parts = parts.union(repeated_by_count(large, length))
+    mixed_groups = shape.where("least <> most").select("hash", (F.col("different") > max_group).alias("large"))
+    mixed_groups = stored(mixed_groups, "suffix-groups")
+
+    def distinct(large: bool) -> DataFrame:
+        rows = found.join(mixed_groups.where(F.col("large") == large).hint("merge"), "hash")
+        return rows.groupBy("hash", "digest").agg(*[F.any_value(c).alias(c) for c in ("context", "place", "starts")])
+
+    parts = repeated_in_groups(distinct(False), length)
+    if not mixed_groups.where("large").isEmpty():
+        parts = parts.union(repeated_by_count(distinct(True), length))
     ranges = whole.union(parts)
     hits = found.select(*ROW, "hash", "digest", "low").join(ranges.hint("merge"), ["hash", "digest"])
     low = F.col("low") + F.col("first")
