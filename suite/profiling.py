@@ -28,9 +28,6 @@ from suite.base import (
     text_sql,
 )
 
-# Text of the float arrays is left out where single digits of it are compared.
-TEXTUAL = [t for t in ALL if t != "embeddings"]
-
 
 @query(f"with {samples_cte(['lineitem'], only={'lineitem': ['l_extendedprice']})} "
        "select sample_rank::int as sample_rank, sample_value from samples")
@@ -38,10 +35,10 @@ def sample_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.sample_column(table(spark, sf_dir, "lineitem"), "l_extendedprice")
 
 
-@query(f"with {samples_cte(TEXTUAL)} select table_name, column_name, sample_rank::int as sample_rank, sample_value"
+@query(f"with {samples_cte(ALL)} select table_name, column_name, sample_rank::int as sample_rank, sample_value"
        " from samples")
 def sample_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.sample_tables(tables(spark, sf_dir, TEXTUAL))
+    return profile.sample_tables(tables(spark, sf_dir, ALL))
 
 
 @query(f"with {samples_cte(['orders'], only={'orders': ['o_orderdate', 'o_custkey']})} "
