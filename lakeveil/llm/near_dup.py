@@ -8,9 +8,9 @@ coordinate with the probability of their weighted Jaccard similarity.
 
 Elements are five-word shingles: of weight 1 for the similarity of sets, or of their number (``weighted``).
 Texts with one shingle set are one node from the start. Nodes that share a band are candidates. A bucket is
-not expanded into pairs: its members are compared with two pivots, then components show which
-buckets may still hide a link, and these are compared further: small ones pair by pair, large ones with two new
-pivots a round until nothing is open. Every comparison is exact.
+not expanded into pairs: its members are compared with the two that meet most others in their buckets, then those outside
+the bucket's largest component with eight, and those still outside with all members that prefix filtering leaves, so no link between candidates is lost. Before shingles are fetched
+for a pair, counts of shingles per residue bound the similarity from above; every link is checked exactly.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeveil.llm.common import ROW, landed, located, only
@@ -30,9 +30,11 @@ from lakeveil.sources.workspace import stored
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-BANDS = 25
-BAND_ROWS = 5
-_SMALL_BUCKET = 24
+BANDS = 28
+BAND_ROWS = 6
+FIRST_PIVOTS = 2
+PIVOTS = (8,)
+_RESIDUES = 256
 # The distribution function of the number of darts in a region of unit area.
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.r_[1.0, np.arange(1.0, 19.0)]))
 
@@ -85,28 +87,32 @@ def _elements(words: np.ndarray, weighted: bool) -> tuple[np.ndarray, np.ndarray
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS, weighted: bool = False) -> DataFrame:
-    """(locator, doc_id, node, n, bands): a digest of the shingles, their total weight, and the band keys."""
+    """(locator, doc_id, node, n, bands, profile): a digest of the shingles, their total weight, the band keys, and the
+    weight in each residue class of shingles (a byte each, or four where a byte is too small)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch, raw in slices(whole):
-                nodes, sizes, keys = [], [], []
+                nodes, sizes, keys, profiles = [], [], [], []
                 for words in batched_word_hashes(raw):
                     found, weights = _elements(words, weighted)
                     content = found.tobytes() + (weights.tobytes() if weighted else b"")
                     nodes.append(hashlib.blake2b(content, digest_size=16).digest())
                     sizes.append(int(weights.sum()))
+                    counts = np.bincount((found % np.uint64(_RESIDUES)).astype(np.int64), weights, _RESIDUES)
+                    profiles.append(counts.astype("<u4" if counts.max() > 255 else "u1").tobytes())
                     if len(found):
                         keys.append(band_keys(signature(found, weights, bands * rows), bands, rows).view(np.int64))
                     else:
                         keys.append(np.zeros(0, np.int64))
                 columns = [batch.column(c) for c in range(3)]
                 columns += [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:3], "node", "n", "bands"])
+                columns.append(pa.array(profiles, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:3], "node", "n", "bands", "profile"])
 
     source = located(docs, "doc_id", "text")
     kind = source.schema["doc_id"].dataType.simpleString()
-    schema = f"lv_file bigint, lv_pos bigint, doc_id {kind}, node binary, n bigint, bands array<bigint>"
+    schema = f"lv_file bigint, lv_pos bigint, doc_id {kind}, node binary, n bigint, bands array<bigint>, profile binary"
     return source.mapInArrow(run, schema)
 
 
@@ -134,6 +140,24 @@ def _sets(docs: DataFrame, nodes: DataFrame, weighted: bool) -> DataFrame:
     return rows.select("node", "text").mapInArrow(run, "node binary, items array<bigint>")
 
 
+def _plausible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` whose profiles allow the similarity: no residue class can share more than the smaller count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for p, q in zip(batch.column("profile_a").to_pylist(), batch.column("profile_b").to_pylist()):
+                x, y = (np.frombuffer(v, "<u4" if len(v) > _RESIDUES else "u1").astype(np.int64) for v in (p, q))
+                common = int(np.minimum(x, y).sum())
+                keep.append(common >= similarity * (int(x.sum()) + int(y.sum()) - common) - 1e-6)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = nodes.select(F.col("node").alias("a"), F.col("profile").alias("profile_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("profile").alias("profile_b"))
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    return both.mapInArrow(run, "a binary, b binary")
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets have at least the similarity."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
@@ -155,67 +179,98 @@ def _candidates(pairs: DataFrame, similarity: float) -> DataFrame:
 def links(docs: DataFrame, nodes: DataFrame, similarity: float, weighted: bool) -> DataFrame | None:
     """(node, component) of every node that has a link; None if none has."""
     members = nodes.where("n > 0").select(F.explode("bands").alias("key"), "node", "n")
-    ends = members.groupBy("key").agg(
-        F.count(F.lit(1)).alias("members"),
-        F.min(F.struct("node", "n")).alias("low"),
-        F.max(F.struct("node", "n")).alias("high"),
-    )
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     # Only buckets with company go on; one row per (bucket, member).
-    members = stored(members.join(ends.where("members > 1").hint("merge"), "key"), "buckets")
+    members = stored(members.join(sizes.hint("merge"), "key"), "bands")
     if members.isEmpty():
         return None
+    # A node that meets many in its buckets lies in the middle of its family: the best pivot.
+    met = members.groupBy("node").agg(F.sum("members").alias("met"))
+    members = stored(members.join(met.hint("merge"), "node"), "buckets")
 
-    def with_pivots(rows: DataFrame) -> DataFrame:
-        pivot = F.explode(F.array("low", "high")).alias("pivot")
-        rows = rows.select("node", "n", pivot)
-        return rows.select("node", "n", F.col("pivot.node").alias("other"), F.col("pivot.n").alias("m"))
+    def pivots_of(rows: DataFrame, count: int) -> DataFrame:
+        order = Window.partitionBy("key").orderBy(F.desc("met"), "node")
+        rows = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+        return rows.select("key", F.col("node").alias("other"), F.col("n").alias("m"))
 
     in_company = members.select("node").distinct()
-    sets = stored(_sets(docs, nodes.join(in_company.hint("merge"), "node"), weighted), "sets")
-    tested = stored(_candidates(with_pivots(members), similarity), "tested")
-    edges = stored(_alike(tested, sets, similarity), "links")
-    used = None
-    while True:
+    company = stored(nodes.join(in_company.hint("merge"), "node").select(*ROW, "node", "n", "profile"), "company")
+    sets = stored(_sets(docs, company, weighted), "sets")
+
+    def tested(pairs: DataFrame, before: DataFrame | None) -> DataFrame:
+        pairs = _candidates(pairs, similarity)
+        return stored(pairs if before is None else pairs.join(before.hint("merge"), ["a", "b"], "left_anti"), "tested")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        plausible = stored(_plausible(pairs, company, similarity), "plausible")
+        return _alike(plausible, sets, similarity)
+
+    first = members.select("key", "node", "n").join(pivots_of(members, FIRST_PIVOTS).hint("merge"), "key")
+    first = first.select("node", "n", "other", "m")
+    done = tested(first, None)
+    edges = stored(linked(done), "links")
+    for pivots in (*PIVOTS, None):
         names = None if edges.isEmpty() else stored(components(edges), "components")
-        named = members.select("key", "members", "node", "n", "low", "high")
-        if names is not None:
-            named = named.join(names.hint("merge"), "node", "left")
-        else:
-            named = named.withColumn("component", F.lit(None).cast("binary"))
-        named = named.withColumn("component", F.coalesce("component", "node"))
-        if used is None:
-            # In a bucket of two both are pivots, and of three only one pair is ever open.
-            used = members.select("key", F.explode(F.array("low.node", "high.node")).alias("node")).distinct()
-            used = stored(used, "pivots")
-        free = named.where("members > 2").join(used.hint("merge"), ["key", "node"], "left_anti")
-        open_keys = free.groupBy("key").agg(
-            F.count(F.lit(1)).alias("free"),
-            F.min("component").alias("f_low"),
-            F.max("component").alias("f_high"),
-            F.min(F.struct("node", "n")).alias("low"),
-            F.max(F.struct("node", "n")).alias("high"),
-        )
-        # All pairs with a pivot are tested, so a bucket is open if members that never were one lie in several components.
-        open_keys = open_keys.where("free > 1 AND f_low <> f_high")
-        open_keys = stored(open_keys.select("key", "free", "low", "high"), "open")
-        if open_keys.isEmpty():
+        strays = stored(_strays(members.where("members > 2"), names), "strays")
+        if strays.isEmpty():
             return names
-        rest = free.drop("low", "high").join(open_keys.hint("merge"), "key")
-        small = rest.where(F.col("free") <= _SMALL_BUCKET).groupBy("key")
-        small = small.agg(F.collect_list(F.struct("component", "node", "n")).alias("all"))
-        small = small.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
-        small = small.where("x.component < y.component").select(
-            F.col("x.node").alias("node"), F.col("x.n").alias("n"), F.col("y.node").alias("other"), F.col("y.n").alias("m")
-        )
-        large = rest.where(F.col("free") > _SMALL_BUCKET)
-        new = _candidates(small.union(with_pivots(large)), similarity)
-        new = stored(new.join(tested.hint("merge"), ["a", "b"], "left_anti"), "tested")
-        edges = stored(edges.union(_alike(new, sets, similarity)), "links")
-        tested = tested.union(new)
-        done = rest.where(F.col("free") <= _SMALL_BUCKET).select("key", "node")
-        pivots = open_keys.where(F.col("free") > _SMALL_BUCKET)
-        pivots = pivots.select("key", F.explode(F.array("low.node", "high.node")).alias("node"))
-        used = stored(used.union(done).union(pivots).distinct(), "pivots")
+        if pivots is None:
+            new = tested(_sharing_a_prefix(strays, members, sets, names, similarity), done)
+        else:
+            others = pivots_of(members.where("members > 2"), pivots)
+            new = tested(strays.join(others.hint("merge"), "key").select("node", "n", "other", "m"), done)
+        edges = stored(edges.union(linked(new)), "links")
+        done = done.union(new)
+    return None if edges.isEmpty() else stored(components(edges), "components")
+
+
+def _sharing_a_prefix(
+    strays: DataFrame, members: DataFrame, sets: DataFrame, names: DataFrame | None, similarity: float
+) -> DataFrame:
+    """(node, n, other, m): strays with those members of unsettled buckets, in other components, that can be similar.
+
+    With items in any one order, two sets of the similarity share one among the first (1 - similarity) * n + 1 of
+    each (prefix filtering; Chaudhuri, Ganti, Kaushik 2006). Rare items come first here, so what many share joins few,
+    and items that only one component has join none. No pair that is similar is lost.
+    """
+    unsettled = strays.select("key").distinct()
+    nodes = members.join(unsettled.hint("merge"), "key", "left_semi").select("node").distinct()
+    items = sets.join(nodes.hint("merge"), "node", "left_semi").select("node", F.explode("items").alias("item"))
+    items = stored(items, "items")
+    counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("often"))
+    ordered = items.join(counts.hint("merge"), "item").groupBy("node")
+    ordered = ordered.agg(F.sort_array(F.collect_list(F.struct("often", "item"))).alias("all"))
+    # A hair more than the bound, against rounding.
+    reach = (F.floor(F.size("all") * F.lit(1 - similarity) + F.lit(1e-6)) + 1).cast("int")
+    first = _named(ordered.select("node", F.size("all").cast("long").alias("n"), F.slice("all", F.lit(1), reach).alias("i")), names)
+    first = stored(first.select("node", "n", "component", F.posexplode("i.item").alias("at", "item")), "prefixes")
+    several = first.groupBy("item").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    first = first.join(several.where("low <> high").select("item").hint("merge"), "item", "left_semi")
+    left = first.join(strays.select("node").distinct().hint("merge"), "node", "left_semi").alias("l")
+    right = first.alias("r").hint("merge")
+    apart = (F.col("l.item") == F.col("r.item")) & (F.col("l.component") != F.col("r.component"))
+    # The first item two sets share leaves as many common ones as stand behind it, at most (Xiao, Wang, Lin, Yu 2008).
+    behind = F.least(F.col("l.n") - F.col("l.at"), F.col("r.n") - F.col("r.at"))
+    enough = behind * F.lit(1 + similarity) >= (F.col("l.n") + F.col("r.n")) * F.lit(similarity) - F.lit(1e-6)
+    return left.join(right, apart & enough).select("l.node", "l.n", F.col("r.node").alias("other"), F.col("r.n").alias("m"))
+
+
+def _named(rows: DataFrame, names: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of their node, which is the node itself where it has no link."""
+    if names is None:
+        return rows.withColumn("component", F.col("node"))
+    rows = rows.join(names.hint("merge"), "node", "left")
+    return rows.withColumn("component", F.coalesce("component", "node"))
+
+
+def _strays(members: DataFrame, names: DataFrame | None) -> DataFrame:
+    """(key, node, n) of the members of a bucket outside the component that has most of it: the pairs among the others are
+    connected already, so every link still to be found has a stray at one end."""
+    named = _named(members.select("key", "node", "n"), names)
+    sizes = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    main = main.where("parts > 1").select("key", F.col("main.component").alias("largest"))
+    return named.join(main.hint("merge"), "key").where("component <> largest").select("key", "node", "n")
 
 
 def near_duplicates(
@@ -236,7 +291,7 @@ def near_duplicates(
     sketch = stored(sketches(docs, bands, rows, weighted), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", *ROW)).alias("first")
     nodes = sketch.where("n > 0").groupBy("node").agg(
-        first, F.count(F.lit(1)).alias("size"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")
+        first, F.count(F.lit(1)).alias("size"), *[F.any_value(c).alias(c) for c in ("n", "bands", "profile")]
     )
     nodes = stored(nodes.select("*", F.col(f"first.{ROW[0]}").alias(ROW[0]), F.col(f"first.{ROW[1]}").alias(ROW[1])), "nodes")
     names = links(docs, nodes, similarity, weighted)
