@@ -11,6 +11,7 @@ time: if a merge would create a pair that is as good as the one merged, only the
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -20,11 +21,13 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
-from lakeveil.llm.common import located, texts
+from lakeveil.llm.common import located
+from lakeveil.llm.hashing import slices
 
 SPACE = "▁"
 _NONE = np.int32(2**31 - 1)
-_CACHE_WORDS = 200_000
+_RUN = re.compile(r"(.)\1{63}", re.DOTALL)
+_CACHE_WORDS = 250_000
 
 
 class Pieces:
@@ -40,6 +43,7 @@ class Pieces:
             raise ValueError("the model must leave texts as they are, but for a space in front")
         kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
         self.begin, self.end = train.bos_id, train.eos_id
+        self._begin, self._end = (i.to_bytes(4, "little") for i in (self.begin, self.end))
         self.bytes_of: list[bytes] = []
         self.byte_value: dict[int, int] = {}
         ids: dict[str, int] = {}
@@ -82,7 +86,9 @@ class Pieces:
         # A line break that no longer piece holds is a word of its own; words without it recur more often.
         alone = "\n" not in "".join(p for p in ids if len(p) > 1)
         self.words = re.compile(r" *[^ \n]+| +|\n" if alone else r" *[^ ]+| +")
+        # Words seen lately and those seen before them: frequent words move over and stay, rare ones go.
         self._cache: dict[str, tuple[bytes, bytes]] = {}
+        self._older: dict[str, tuple[bytes, bytes]] = {}
 
     # ------------------------------------------------------------------ pairs
 
@@ -174,6 +180,43 @@ class Pieces:
         sym, seg = self._with_bytes(sym[order], seg[order])
         return sym, np.bincount(seg, minlength=len(words))
 
+    def encode_run(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one word, merge by merge from a heap: in a long run of one character nearly every merge
+        makes pairs as good as itself, so rounds would merge one pair each."""
+        codes = np.frombuffer(word.replace(" ", SPACE).encode("utf-32-le"), np.uint32).astype(np.int64)
+        sym = np.where(self.char_ids[codes] < 0, -1 - codes, self.char_ids[codes]).astype(np.int32)
+        rank, merged = self._pairs(sym[:-1], sym[1:])
+        heap = [(r, i, a, b, m) for i, (r, a, b, m) in enumerate(zip(*(v.tolist() for v in (rank, sym, sym[1:], merged)))) if r != _NONE]
+        heapq.heapify(heap)
+        now, after = sym.tolist(), [*range(1, len(sym)), -1]
+        before = [*range(-1, len(sym) - 1)]
+        known: dict[tuple[int, int], tuple[int, int]] = {}
+
+        def offer(i: int, j: int) -> None:
+            pair = now[i], now[j]
+            if pair not in known:
+                r, m = self._pairs(np.array([pair[0]]), np.array([pair[1]]))
+                known[pair] = int(r[0]), int(m[0])
+            r, m = known[pair]
+            if r != _NONE:
+                heapq.heappush(heap, (r, i, *pair, m))
+
+        gone = -(2**31)
+        while heap:
+            _, i, a, b, m = heapq.heappop(heap)
+            j = after[i]
+            if now[i] != a or j < 0 or now[j] != b:
+                continue  # one of the two has been merged meanwhile
+            now[i], now[j], after[i] = m, gone, after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+                offer(i, after[j])
+            if before[i] >= 0:
+                offer(before[i], i)
+        left = np.array([v for v in now if v != gone], np.int32)
+        ids, _ = self._with_bytes(left, np.zeros(len(left), np.int64))
+        return ids, np.array([len(ids)])
+
     def _with_bytes(self, sym: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Characters without a piece replaced by the pieces of their UTF-8 bytes."""
         unknown = np.flatnonzero(sym < 0)
@@ -189,15 +232,24 @@ class Pieces:
 
     def _entries(self, words: list[str]) -> dict[str, tuple[bytes, bytes]]:
         """word -> (ids as little-endian 32 bits, the bytes they stand for), for at least ``words``."""
-        cache = self._cache
-        if len(cache) > _CACHE_WORDS:
-            cache.clear()
-        new = list({w for w in words if w not in cache})
+        if len(self._cache) > _CACHE_WORDS:
+            self._cache, self._older = {}, self._cache
+        cache, older = self._cache, self._older
+        new = []
+        for word in set(words).difference(cache):
+            found = older.get(word)
+            if found is None:
+                new.append(word)
+            else:
+                cache[word] = found
         # Long words in a batch of their own: their many rounds then don't carry the short ones' arrays along.
-        for chunk in ([w for w in new if len(w) <= 64], [w for w in new if len(w) > 64]):
-            for i in range(0, len(chunk), 50_000):
-                part = chunk[i : i + 50_000]
-                ids, counts = self.encode_words(part)
+        long = [w for w in new if len(w) > 64]
+        runs = [w for w in long if _RUN.search(w)]
+        parts = [[w for w in new if len(w) <= 64], sorted(set(long).difference(runs))]
+        parts = [chunk[i : i + 50_000] for chunk in parts for i in range(0, len(chunk), 50_000)]
+        for encode, chunks in ((self.encode_words, parts), (lambda c: self.encode_run(c[0]), [[w] for w in runs])):
+            for part in chunks:
+                ids, counts = encode(part)
                 raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts).tolist()
                 start, listed = 0, ids.tolist()
                 for word, end in zip(part, ends):
@@ -230,17 +282,19 @@ class Pieces:
     def _marks(self, i: int) -> bool:
         return self.bytes_of[i] != b" \xe2\x81\x87 "
 
-    def digests(self, text: str) -> tuple[int, str, str, bytes]:
-        """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text, the ids as bytes), with begin and end ids."""
-        words = self._split(text)
-        entries = self._entries(words)
-        found = [entries[w] for w in words]
-        ids = b"".join([f[0] for f in found])
-        decoded = b"".join([f[1] for f in found])
-        # Every text starts with the word mark put in front of it, and decoding drops that one.
-        text_bytes = _text_of(decoded.removeprefix(b" ")).encode()
-        framed = self.begin.to_bytes(4, "little") + ids + self.end.to_bytes(4, "little")
-        return len(framed) // 4, hashlib.sha256(framed).hexdigest(), hashlib.sha256(text_bytes).hexdigest(), framed
+    def digests(self, bodies: list[str]) -> list[tuple[int, str, str, bytes]]:
+        """Per text (number of ids, SHA-256 of the ids, SHA-256 of the decoded text, the ids as bytes), with begin and end ids."""
+        split = [self._split(t) for t in bodies]
+        entries = self._entries([w for words in split for w in words])
+        out = []
+        for words in split:
+            found = [entries[w] for w in words]
+            # Every text starts with the word mark put in front of it, and decoding drops that one.
+            decoded = b"".join([f[1] for f in found]).removeprefix(b" ")
+            framed = self._begin + b"".join([f[0] for f in found]) + self._end
+            text = _text_of(decoded).encode()
+            out.append((len(framed) // 4, hashlib.sha256(framed).hexdigest(), hashlib.sha256(text).hexdigest(), framed))
+        return out
 
 
 def _text_of(raw: bytes) -> str:
@@ -254,7 +308,7 @@ def encoded(docs: DataFrame, model_file: str, ids: bool = False) -> DataFrame:
     """(locator, doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]), one row per row of ``docs``.
 
     Null texts count as empty and give the begin and end ids alone. Whole texts are encoded, in
-    batches of 64 rows; repeated rows give repeated results; an empty table gives none. ``model_file``
+    batches of some 2 MB; repeated rows give repeated results; an empty table gives none. ``model_file``
     is read on the driver and sent along: its size is that of a vocabulary, not of the data.
     """
     with open(model_file, "rb") as file:
@@ -264,11 +318,8 @@ def encoded(docs: DataFrame, model_file: str, ids: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model)
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                bodies = texts(part)
-                pieces._entries([w for t in bodies for w in pieces._split(t)])
-                found = [pieces.digests(t) for t in bodies]
+            for part, raw in slices(batch, max_rows=1024, max_bytes=2 << 20):
+                found = pieces.digests([r.decode() for r in raw])
                 columns = [part.column(c) for c in range(3)]
                 columns += [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))]
                 names = [*part.schema.names[:3], "n_tokens", "ids_sha256", "decoded_sha256"]

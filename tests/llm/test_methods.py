@@ -214,7 +214,7 @@ def test_pieces_equal_the_library(texts):
         ids = library.encode(text, add_bos=True, add_eos=True)
         assert ours.encode(text) == ids, text[:80]
         assert ours.decode(ids) == library.decode(ids)
-        digests = ours.digests(text)
+        digests = ours.digests([text])[0]
         assert digests[0] == len(ids) and digests[2] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
     for _ in range(300):
         ids = [rnd.randrange(600) for _ in range(rnd.randint(0, 9))]
