@@ -129,7 +129,8 @@ def slots(plan: DataFrame, seed: int = 7) -> DataFrame:
     """(shard, place, source_key, epoch, block): what each slot of the output takes."""
     last = F.floor((F.col("draws") - 1) / F.lit(_DRAWS_PER_CHUNK))
     chunks = plan.where("draws > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    chunks = chunks.repartition("source", "chunk")
+    # A fixed number of tasks: the rows are few here and many after the next step, so they must not be coalesced.
+    chunks = chunks.repartition(int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "chunk")
     first = F.col("chunk") * _DRAWS_PER_CHUNK
     draw = F.explode(F.sequence(first, F.least(first + _DRAWS_PER_CHUNK, F.col("draws")) - 1))
     rows = chunks.withColumn("draw", draw).withColumn("source_key", _key("source"))
