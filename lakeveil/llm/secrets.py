@@ -81,16 +81,17 @@ def parts_of(docs: DataFrame) -> DataFrame:
     return rows.select(*ROW, "kind", "start", "end")
 
 
-def _near(weak: DataFrame, others: DataFrame, scope: int) -> DataFrame:
-    """Rows of ``weak`` with some row of ``others`` at most ``scope`` code points away."""
-    width = F.lit(scope)
-    reach = F.sequence(F.floor((F.col("start") - width) / width), F.floor((F.col("end") + width) / width))
+def _near(weak: DataFrame, others: DataFrame, scope: int, bins: int | None = None) -> DataFrame:
+    """Rows of ``weak`` with some row of ``others`` at most ``scope`` code points away; with -1, those that overlap one.
+    ``bins`` is their width, if not the scope."""
+    width, gap = F.lit(bins or scope), F.lit(scope)
+    reach = F.sequence(F.floor((F.col("start") - gap - 1) / width), F.floor((F.col("end") + gap) / width))
     left = weak.withColumn("bin", F.explode(reach))
     spread = F.explode(F.sequence(F.floor(F.col("o_start") / width), F.floor((F.col("o_end") - 1) / width)))
     right = others.select(*ROW, F.col("start").alias("o_start"), F.col("end").alias("o_end")).withColumn("bin", spread)
     l, r = left.alias("l"), right.alias("r").hint("merge")
     met = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in (*ROW, "bin")]
-    close = (F.col("o_start") - F.col("end") <= width) & (F.col("start") - F.col("o_end") <= width)
+    close = (F.col("o_start") - F.col("end") <= gap) & (F.col("start") - F.col("o_end") <= gap)
     found = l.join(r, [*met, close], "left_semi")
     return found.select("l.*").drop("bin").distinct()
 
@@ -99,10 +100,10 @@ def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """The weak parts that are reported."""
     role = F.create_map(*[F.lit(x) for k, v in _ROLE.items() for x in (k, v)])
     rows = parts.withColumn("role", role[F.col("kind")])
-    # A weak part that overlaps a base finding is that finding again.
+    # A weak part that overlaps a base finding is that finding again; one that only touches it is not.
     weak = rows.where(F.col("kind").isin(*WEAK))
     base = rows.where(F.col("kind").isin(*BASE))
-    again = _near(weak, base, scope=1).select(*ROW, "kind", "start", "end")
+    again = _near(weak, base, scope=-1, bins=SCOPE).select(*ROW, "kind", "start", "end")
     weak = weak.join(again.hint("merge"), [*ROW, "kind", "start", "end"], "left_anti").select(*rows.columns)
     fresh = stored(weak.union(base), "credential-parts")
     secrets, others = fresh.where("role = 'secret'"), fresh.where("role <> 'secret'")
