@@ -1,7 +1,7 @@
 """Secret scans with multipart credential linking, in built-in functions only.
 
 Base findings stand alone: assignments, access identifiers, hexadecimal runs. Other parts are too common to
-report by themselves: short assigned passwords, mixed random strings, account names and endpoints. Parts are
+report by themselves: assigned passwords that no base kind takes, mixed random strings, account names and endpoints. Parts are
 intervals of code points in their document, and a weak part is reported only if a complementary part lies in its
 scope, i.e. within ``SCOPE`` code points: a secret next to an identifier or an endpoint, and the reverse.
 The interval join is an equi-join on (document, bin) with bins as wide as the scope, so the rows that meet are bounded by
@@ -24,28 +24,27 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]+", 0, 18),
     "hex": (r"[0-9a-f]{16,}", 0, 16),
 }
-# Parts that count only in company; kind -> (pattern, group, least and greatest length, what it is).
+# Parts that count only in company; kind -> (pattern, group, least length, what it is).
 WEAK = {
     "short_secret": (
         rf"((?i:password|passwd|pwd|passphrase|secret|token|api_?key|private_?key)){_ASSIGN}([^\x20\x09-\x0D\"',;]+)",
-        2, 4, 11, "secret",
+        2, 4, "secret",
     ),
     "random_secret": (
-        r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,99}[0-9])(?=[a-z0-9+/_-]{0,99}[A-Z])(?=[A-Z0-9+/_-]{0,99}[a-z])"
-        r"[A-Za-z0-9+/_-]{30,100}(?![A-Za-z0-9+/_-])",
-        0, 30, 100, "secret",
+        r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{30,}+",
+        0, 30, "secret",
     ),
     "account": (
         rf"((?i:access_?key_?id|client_?id|user_?name|user|login|account))(?<![A-Za-z]{{20}}){_ASSIGN}([A-Za-z0-9+/_.@-]+)",
-        2, 3, 100, "identifier",
+        2, 3, "identifier",
     ),
     "endpoint": (
         r"(?i:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3|ftp)://[^\x20\x09-\x0D\"'<>]+"
         r"|(?i:host|hostname|endpoint|server)\x20*[:=]\x20*[\"']?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-        0, 6, 2000, "endpoint",
+        0, 6, "endpoint",
     ),
 }
-_ROLE = {"assign": "secret", "hex": "secret", "access": "identifier"} | {k: v[4] for k, v in WEAK.items()}
+_ROLE = {"assign": "secret", "hex": "secret", "access": "identifier"} | {k: v[3] for k, v in WEAK.items()}
 _ORDER = {kind: i for i, kind in enumerate(list(BASE) + list(WEAK))}
 
 
@@ -68,7 +67,7 @@ def _found(text: Column, kind: str, pattern: str, group: int) -> Column:
 
 def parts_of(docs: DataFrame) -> DataFrame:
     """(locator, kind, start, end) of the base findings and of the weak parts, in code points, end exclusive."""
-    limits = {k: (v[2], 2**31 - 1) for k, v in BASE.items()} | {k: (v[2], v[3]) for k, v in WEAK.items()}
+    least = F.create_map(*[F.lit(x) for k, v in (BASE | WEAK).items() for x in (k, v[2])])
     patterns = {k: v[:2] for k, v in (BASE | WEAK).items()}
     kinds = F.array(*[_found(F.col("body"), k, *p) for k, p in patterns.items()])
     rows = located(docs, text_of().alias("body")).select(*ROW, F.explode(kinds).alias("k"))
@@ -76,8 +75,7 @@ def parts_of(docs: DataFrame) -> DataFrame:
     through = Window.partitionBy(*ROW, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("m.before") + F.col("m.length")).over(through)
     rows = rows.select(*ROW, "kind", (end - F.col("m.length")).alias("start"), end.alias("end"), "m.valued")
-    bound = F.create_map(*[x for k, (a, b) in limits.items() for x in (F.lit(k), F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")))])
-    rows = rows.where((F.col("valued") >= bound[F.col("kind")]["a"]) & (F.col("valued") <= bound[F.col("kind")]["b"]))
+    rows = rows.where(F.col("valued") >= least[F.col("kind")])
     return rows.select(*ROW, "kind", "start", "end")
 
 

@@ -278,6 +278,20 @@ def test_weak_parts_beside_base_findings_count(spark):
     assert all(n == (2 if i < 200 else 0) for i, n in found.items() if i > 2)
 
 
+def test_weak_secrets_have_no_greatest_length(spark):
+    key = "aB3" * 200
+    texts = ["passphrase: correcthorsebattery", "pwd=LongPassword123", "password=P@ssw0rd-Very-Long!", "private_key=" + "x@" * 300]
+    rows = [(i, f"user=bob {t}") for i, t in enumerate(texts)] + [(10, f"user=bob {key}"), (11, "user=bob password=hunter2hunter2")]
+    rows += [(12, "z" * 150 + "B3 user=bob"), (13, "user=" + "z" * 150 + " pwd=hunter2")]
+    found = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    for i, t in enumerate(texts):
+        assert found[i].spans == f"account:0:8,short_secret:9:{9 + len(t)}"
+    assert found[10].spans == "account:0:8,random_secret:9:609"
+    assert found[11].spans == "account:0:8,assign:9:32"
+    assert found[12].spans == "random_secret:0:152,account:153:161"
+    assert found[13].spans == "account:0:155,short_secret:156:167"
+
+
 # --------------------------------------------------------------- pseudonyms
 
 
