@@ -5,6 +5,9 @@ written back in the same format: digits to digits with the separators left in pl
 addresses, and card numbers to numbers whose check digit is right. A permutation keeps equal values equal and
 different ones different, in every document, without a table of what was seen. Values that fail validation stay.
 
+A form can match from every place of a text, so what an invalid match took is looked at again. Of a card or account
+number that fails as a whole, the shorter readings that end at a separator are tried.
+
 A network works on (x, y) in Z_a x Z_b: rounds add a keyed SHA-256 of one half to the other in turn, which is a
 bijection for any a and b, so no value needs a second walk.
 """
@@ -32,6 +35,13 @@ FORMS = {
     "phone": r"(?<![A-Za-z0-9])\+\d{1,3}(?:[\x20.-]?\(?\d{2,4}\)?){2,4}(?![0-9])",
 }
 ANY = "|".join(f"(?:{p})" for p in FORMS.values())
+# Lengths that issuers of cards use with their prefixes; shorter readings of these are tried first.
+_ISSUED = (
+    r"^(?:4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}|3[47]\d{13}"
+    r"|3(?:0[0-5]|[68]\d)\d{11}|35\d{14,17}|6\d{15,18}|220[0-4]\d{12,15})$"
+)
+# Days after the twelfth are found within so many steps, but for some 1 in 10^16.
+_WALKS = 40
 
 
 def feistel(x: Column, y: Column, a: Column, b: Column, key: str, tweak: Column) -> Column:
@@ -113,15 +123,26 @@ def _ip(value: Column, key: str) -> Column:
     return F.when(F.array_max(octets) <= 255, new)
 
 
-def _date(value: Column, key: str, form: str) -> Column:
-    """Days since 1900 are permuted within their era of 65,536 days (some 179 years)."""
-    day = F.try_to_timestamp(value, F.lit(form)).cast("date")
-    number = F.datediff(day, F.lit("1900-01-01").cast("date"))
+def _moved_day(number: Column, key: str) -> Column:
     era = F.floor(number / F.lit(_ERA_DAYS))
     within = number - era * _ERA_DAYS
     moved = feistel(F.floor(within / 256), within % 256, F.lit(256), F.lit(256), key, F.concat_ws(":", F.lit("date"), era))
-    new = F.date_add(F.lit("1900-01-01").cast("date"), (era * _ERA_DAYS + moved["x"] * 256 + moved["y"]).cast("int"))
-    return F.date_format(new, form)
+    return (era * _ERA_DAYS + moved["x"] * 256 + moved["y"]).cast("int")
+
+
+def _date(value: Column, key: str, form: str, late: bool = False) -> Column:
+    """Days since 1900 are permuted within their era of 65,536 days (some 179 years). With ``late``, only days after the
+    twelfth of a month count, and are permuted among themselves: steps are repeated until they lead to such a day."""
+    first = F.lit("1900-01-01").cast("date")
+    day = F.try_to_timestamp(value, F.lit(form)).cast("date")
+    number = F.datediff(day, first)
+
+    def walk(at: Column, i: Column) -> Column:
+        return F.when((i == 1) | (F.dayofmonth(F.date_add(first, at)) <= 12), _moved_day(at, key)).otherwise(at)
+
+    moved = F.aggregate(F.sequence(F.lit(1), F.lit(_WALKS)), number, walk) if late else _moved_day(number, key)
+    new = F.date_format(F.date_add(first, moved), form)
+    return F.when(F.dayofmonth(day) > 12, new) if late else new
 
 
 def _iban_rest(value: Column) -> Column:
@@ -155,7 +176,8 @@ def pseudonym(value: Column, key: str) -> Column:
         "email": _email(value, key),
         "iban": _iban(value, key),
         "iso_date": _date(value, key, "yyyy-MM-dd"),
-        "slash_date": _date(value, key, "dd/MM/yyyy"),
+        # What can't be dd/MM is MM/dd, and stays so.
+        "slash_date": F.coalesce(_date(value, key, "dd/MM/yyyy"), _date(value, key, "MM/dd/yyyy", late=True)),
         "dot_date": _date(value, key, "dd.MM.yyyy"),
         "ip": _ip(value, key),
         "us_phone": _phone(value, key),
@@ -171,6 +193,52 @@ def pseudonym(value: Column, key: str) -> Column:
     return chosen
 
 
+def _readings(value: Column) -> Column:
+    """A match and, of numbers in groups, what is left of it if groups are taken off its end."""
+    groups = F.split(value, r"(?=[\x20-])", -1)
+    numbers = F.sequence(F.size(groups) - 1, F.lit(1), F.lit(-1))
+    shorter = F.transform(numbers, lambda n: F.array_join(F.slice(groups, F.lit(1), n), ""))
+    shorter = F.filter(shorter, lambda r: r.rlike(f"^(?:{FORMS['card']}|{FORMS['iban']})$"))
+
+    def issued(r: Column) -> Column:
+        return _digits(r).rlike(_ISSUED)
+
+    some = F.concat(F.array(value), F.filter(shorter, issued), F.filter(shorter, lambda r: ~issued(r)))
+    grouped = value.rlike(f"^(?:{FORMS['card']}|{FORMS['iban']})$") & (F.size(groups) > 1)
+    return F.when(grouped, some).otherwise(F.array(value))
+
+
+def _made(value: Column, key: str) -> Column:
+    """(kind, new, used) of the first valid reading of a match, ``used`` its length; null if none is valid."""
+
+    def step(acc: Column, r: Column) -> Column:
+        made = F.transform(F.array(pseudonym(r, key)), lambda p: F.when(p.isNotNull(), F.struct(p["kind"], p["new"], F.length(r).alias("used"))))
+        return F.when(acc.isNull(), made[0]).otherwise(acc)
+
+    return F.aggregate(_readings(value), F.lit(None).cast("struct<kind:string,new:string,used:int>"), step)
+
+
+def _replaced(pieces: Column, made: Column) -> Column:
+    """(text, kind) pieces: from left to right, each valid reading is replaced that doesn't start within the one before.
+
+    ``pieces`` are cut where matches start, ``made`` has what was made of each match."""
+
+    def step(acc: Column, item: Column) -> Column:
+        size, free = F.length(item["piece"]), acc["skip"] == 0
+        taken = free & item["made"].isNotNull()
+        used = F.when(taken, item["made"]["used"]).otherwise(acc["skip"])
+        rest = F.substring(item["piece"], used + 1, size)
+        new = F.when(taken, F.concat(item["made"]["new"], rest)).otherwise(rest)
+        kind = F.when(taken, item["made"]["kind"])
+        return F.struct(
+            F.greatest(used - size, F.lit(0)).alias("skip"),
+            F.concat(acc["out"], F.array(F.struct(new.alias("text"), kind.alias("kind")))).alias("out"),
+        )
+
+    start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<struct<text:string,kind:string>>").alias("out"))
+    return F.aggregate(F.arrays_zip(pieces.alias("piece"), made.alias("made")), start, step, lambda acc: acc["out"])
+
+
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     """(locator, doc_id, text, n_values, kinds), one row per row of ``docs``: whole texts with pseudonyms in place.
 
@@ -178,20 +246,21 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     stays empty. Repeated rows give repeated results, an empty table none. Only doc_id and text are read.
     """
     rows = located(landed(docs), "doc_id", "text")
-    found = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
     some = F.regexp_like("text", F.lit(ANY))
-    values = F.transform(found, lambda v: F.struct(v.alias("old"), pseudonym(v, key).alias("made")))
-    rows = rows.withColumn("lv_values", F.when(some, values))
-    new = F.concat(F.transform("lv_values", lambda v: F.coalesce(v["made"]["new"], v["old"])), F.array(F.lit("")))
-    pieces = F.split("text", ANY, -1)
-    joined = F.array_join(F.zip_with(pieces, new, lambda p, n: F.concat(F.coalesce(p, F.lit("")), F.coalesce(n, F.lit("")))), "")
-    kinds = F.filter(F.transform("lv_values", lambda v: v["made"]["kind"]), lambda k: k.isNotNull())
+    # Matches from every place, overlapping ones too. The line break before a text keeps its first piece apart.
+    led = F.concat(F.lit("\n"), "text")
+    made = F.transform(F.regexp_extract_all(led, F.lit(f"(?=({ANY}))"), F.lit(1)), lambda v: _made(v, key))
+    rows = rows.withColumns({"lv_some": some, "lv_pieces": F.when(some, F.split(led, f"(?={ANY})", -1)), "lv_made": F.when(some, made)})
+    rest = F.slice("lv_pieces", F.lit(2), F.size("lv_pieces") - 1)
+    rows = rows.withColumn("lv_out", F.when(F.col("lv_some"), _replaced(rest, F.col("lv_made"))))
+    joined = F.concat(F.expr("substring(lv_pieces[0], 2)"), F.array_join(F.transform("lv_out", lambda p: p["text"]), ""))
+    kinds = F.filter(F.transform("lv_out", lambda p: p["kind"]), lambda k: k.isNotNull())
     kinds = F.coalesce(kinds, F.array().cast("array<string>"))
     return rows.select(
         "lv_file",
         "lv_pos",
         "doc_id",
-        F.when(some, joined).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("lv_some"), joined).otherwise(F.col("text")).alias("text"),
         F.size(kinds).cast("long").alias("n_values"),
         F.array_join(kinds, ",").alias("kinds"),
     )

@@ -330,6 +330,30 @@ def test_values_are_replaced_in_their_format(spark):
     assert found[3].text is None
 
 
+def test_valid_values_within_longer_matches_are_replaced(spark):
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    texts = [f"{card} {t}" for t in ("12/25", "123", "1234", "9", "12/31/1990")]
+    texts += [f"{iban} {t}" for t in ("BIC KREDBEBB", "2024", "VISA", "AB1", card)]
+    texts += [f"12 {card}", f"1234 {card}", f"7 8 9 {card} 12/25", "4111-1111-1111-1111-123", f"{card} {card} {iban}"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: r for r in pseudonyms.pseudonymised(frame, "k").collect()}
+    for i, t in enumerate(texts):
+        assert "1111 1111" not in found[i].text and "1111-1111" not in found[i].text and "0754" not in found[i].text, t
+        assert len(found[i].text) == len(t)
+    assert found[0].text.endswith(" 12/25") and found[5].text.endswith(" BIC KREDBEBB")
+    assert found[4].kinds == "card,slash_date" and found[9].kinds == "iban,card" and found[14].kinds == "card,card,iban"
+
+
+def test_slash_dates_with_the_month_first(spark):
+    days = [f"{m:02}/{d:02}/{y}" for y in (1990, 1991) for m in range(1, 13) for d in range(13, 29)]
+    frame = spark.createDataFrame(list(enumerate([*days, "13/13/1990", "02/30/1990"])), "doc_id int, text string")
+    found = {r.doc_id: r.text for r in pseudonyms.pseudonymised(frame, "k").collect()}
+    new = [found[i] for i in range(len(days))]
+    assert len(set(new)) == len(days) and sum(a == b for a, b in zip(days, new)) < 3
+    assert all(1 <= int(n[:2]) <= 12 < int(n[3:5]) for n in new)
+    assert found[len(days)] == "13/13/1990" and found[len(days) + 1] == "02/30/1990"
+
+
 # ----------------------------------------------------------------- toxicity
 
 
