@@ -7,6 +7,8 @@
    shards are runs of slots. The totals, and with them the targets, are then met to within a block.
 3. Draw k of a source with n blocks takes block perm(k mod n) under the key (source, k div n): every
    block once per epoch. Slots and blocks are joined by (source, block index).
+4. ``mixed_blocks`` lists the blocks by shard and place. Documents of the mix stand at the slots of the first of their
+   drawn words, and are written in the order of slots, so that each part file is a run of the mix.
 
 The permutations are swap-or-not shuffles (Hoang, Morris, Rogaway 2012): each round pairs x with K - x mod n
 and swaps by a hashed bit, so they are bijections on any n, computed per row, without sorting or state.
@@ -148,10 +150,13 @@ def slots(plan: DataFrame, seed: int = 7) -> DataFrame:
 
 
 def drawn_parts(docs: DataFrame, seed: int = 7, **targets) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, plan, parts): ``parts`` are the packed parts of documents with ``times``, how often each is drawn."""
+    """(rows, plan, parts): ``parts`` are the packed parts of documents with ``times``, how often each is drawn, and
+    ``slots``, its (shard, place) in order."""
     rows = stored(sized(docs), "mix-sizes")
     plan = stored(source_plan(rows, **targets), "mix-plan")
-    drawn = slots(plan, seed).groupBy("source_key", "block").agg(F.count(F.lit(1)).alias("times"))
+    drawn = slots(plan, seed).groupBy("source_key", "block").agg(
+        F.count(F.lit(1)).alias("times"), F.sort_array(F.collect_list(F.struct("shard", "place"))).alias("slots")
+    )
     parts = packed(rows, plan).join(drawn.hint("merge"), ["source_key", "block"])
     return rows, plan, parts
 
@@ -173,14 +178,32 @@ def mix(docs: DataFrame, seed: int = 7, **targets) -> DataFrame:
     )
 
 
+def mixed_blocks(docs: DataFrame, seed: int = 7, **targets) -> DataFrame:
+    """(shard, place, source_key, block, n_words, parts): the mix itself, one row per slot. ``parts`` are the documents'
+    parts of its block, as (locator, first_word, n_words) in order of the locators."""
+    _, _, parts = drawn_parts(landed(docs), seed, **targets)
+    part = F.struct(*ROW, "first_word", "n_words")
+    blocks = parts.groupBy("source_key", "block").agg(
+        F.sort_array(F.collect_list(part)).alias("parts"), F.sum("n_words").alias("n_words"), F.first("slots").alias("slots")
+    )
+    return blocks.withColumn("slot", F.explode("slots")).select("slot.*", "source_key", "block", "n_words", "parts")
+
+
 def mixed_documents(docs: DataFrame, seed: int = 7, **targets) -> DataFrame:
-    """The mix as documents, with the columns of ``docs``: one row for the words drawn at least once, one more
-    for those drawn twice, and so on. A document drawn as a whole keeps its text as it is; of others
-    the drawn words are joined by single spaces. Documents of which nothing is drawn leave."""
+    """``dealt_documents`` with the columns of ``docs`` alone, in the order of slots within and over part files."""
+    names = docs.columns
+    return dealt_documents(docs, seed, **targets).select(*[F.col(f"`{n}`") for n in names])
+
+
+def dealt_documents(docs: DataFrame, seed: int = 7, **targets) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``, lv_shard and lv_place: one row for the words drawn at least
+    once, one more for those drawn twice, and so on. A document drawn as a whole keeps its text as it is; of others
+    the drawn words are joined by single spaces. Documents of which nothing is drawn leave. A row stands at the slot that
+    drew the first of its words; partitions are runs of slots, in order."""
     docs = landed(docs)
     names = docs.columns
-    _, _, parts = drawn_parts(docs, seed, **targets)
-    part = F.struct("first_word", "n_words", "times")
+    _, plan, parts = drawn_parts(docs, seed, **targets)
+    part = F.struct("first_word", "n_words", "times", "slots")
     parts = parts.groupBy(*ROW).agg(F.sort_array(F.collect_list(part)).alias("parts"))
     found = located(docs, *[F.col(f"`{n}`").alias(f"lv_c{i}") for i, n in enumerate(names)])
     found = found.join(parts.hint("merge"), ROW)
@@ -195,8 +218,18 @@ def mixed_documents(docs: DataFrame, seed: int = 7, **targets) -> DataFrame:
         F.transform("lv_now", lambda p: F.slice("lv_words", (p["first_word"] + 1).cast("int"), p["n_words"].cast("int")))
     )
     new = F.when(total == F.size("lv_words"), text).otherwise(F.concat_ws(" ", chosen))
-    result = found.withColumn("lv_text", new)
+    # The turn's own slot: a document drawn twice stands at two places.
+    slot = F.element_at(F.col("lv_now")[0]["slots"], F.col("lv_turn").cast("int"))
+    result = found.withColumns({"lv_text": new, "lv_slot": slot})
     columns = {n: F.col(f"lv_c{i}") for i, n in enumerate(names)} | {"text": F.col("lv_text")}
     if "n_chars" in columns:
         columns["n_chars"] = F.length("lv_text").cast(docs.schema["n_chars"].dataType)
-    return result.select(*[c.alias(n) for n, c in columns.items()])
+    places = [F.col("lv_slot.shard").alias("lv_shard"), F.col("lv_slot.place").alias("lv_place")]
+    result = result.select(*[c.alias(n) for n, c in columns.items()], *places, *[F.col(c).alias(f"lv_at_{c}") for c in ROW])
+    # Equal runs of slots, known without sampling: a shuffle by number, not by hash or range.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    draws = max(1, plan.agg(F.max("all_draws")).first()[0] or 0)
+    run = F.floor((F.col("lv_shard") * SHARD_BLOCKS + F.col("lv_place")) * tasks / F.lit(draws)).cast("int")
+    order = ["lv_shard", "lv_place", *[f"lv_at_{c}" for c in ROW]]
+    result = result.repartitionById(tasks, run).sortWithinPartitions(*order)
+    return result.drop(*[f"lv_at_{c}" for c in ROW])

@@ -124,6 +124,37 @@ def test_shards_mix_all_sources(docs):
         assert abs(r["count"] / mixing.SHARD_BLOCKS - p) < 5 * math.sqrt(p / mixing.SHARD_BLOCKS)
 
 
+def test_mix_is_written_by_shard(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 2048)
+    plan = mixing.source_plan(mixing.sized(docs)).collect()
+    draws = plan[0].all_draws
+    blocks = mixing.mixed_blocks(docs).drop("parts").collect()
+    slots = [(r.shard, r.place) for r in blocks]
+    assert len(set(slots)) == len(slots) == draws and max(s for s, _ in slots) == (draws - 1) // 2048
+    for shard in range(draws // 2048):
+        count = collections.Counter(r.source_key[1:] for r in blocks if r.shard == shard)
+        for r in plan:
+            p = r.draws / draws
+            assert abs(count[r.source] / 2048 - p) < 5 * math.sqrt(p / 2048)
+    taken = mixing.mix(docs).agg(F.sum("taken")).first()[0]
+    assert sum(r.n_words for r in blocks) == taken
+    # Documents stand in the order of slots, over part files and within them, and every part file is mixed.
+    dealt = mixing.dealt_documents(docs).withColumn("part", F.spark_partition_id()).collect()
+    places = [(r.part, r.lv_shard, r.lv_place) for r in dealt]
+    assert places == sorted(places) and [p[1:] for p in places] == sorted(p[1:] for p in places)
+    assert sum(len(WORDS.findall(r.text)) for r in dealt) == taken
+    total = collections.Counter(r.source for r in dealt)
+    for shard in range(draws // 2048):
+        rows = [r.source for r in dealt if r.lv_shard == shard]
+        for source, n in collections.Counter(rows).items():
+            p = total[source] / len(dealt)
+            assert abs(n / len(rows) - p) < 5 * math.sqrt(p / len(rows))
+    mixing.mixed_documents(docs).write.parquet(f"{tmp_path}/mix")
+    files = sorted((tmp_path / "mix").glob("part-*"))
+    written = [r.doc_id for f in files for r in spark.read.parquet(str(f)).collect()]
+    assert written == [r.doc_id for r in dealt]
+
+
 # ------------------------------------------------------------- suffix dedup
 
 
