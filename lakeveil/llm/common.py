@@ -62,6 +62,17 @@ def only(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return found.select(*[F.col(f"lv_c{i}").alias(n) for i, n in enumerate(names)])
 
 
+def sampled(docs: DataFrame, known: DataFrame, limit: int) -> DataFrame:
+    """(locator, columns of ``known``) of at most ``limit`` rows of ``docs`` (as ``landed`` returned them) that meet
+    ``known`` by doc_id: those with the smallest hashes of id and text. Rows with equal ids and texts count as one."""
+    rows = located(docs, "doc_id", F.sha2(text_of(), 256).alias("lv_digest")).where("doc_id IS NOT NULL")
+    rows = rows.groupBy("doc_id", "lv_digest").agg(F.min(F.struct(*ROW)).alias("lv_at"))
+    rows = rows.join(known.hint("merge"), "doc_id")
+    names = [c for c in known.columns if c != "doc_id"]
+    order = [F.xxhash64("doc_id", "lv_digest"), "doc_id", "lv_digest", *names]
+    return rows.orderBy(*order).limit(limit).select("lv_at.*", *names)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

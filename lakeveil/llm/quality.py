@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeveil.llm.common import landed, located, only, texts
+from lakeveil.llm.common import ROW, landed, located, only, sampled, texts
 
 MAX_TRAINING_DOCS = 4000
 MIN_CONTENT_SHARE = 0.5
@@ -263,7 +263,7 @@ def base_counts(bodies: list[str]) -> list[tuple[int, int, int, int, int]]:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> Crf:
-    """A CRF fitted to the at most ``max_docs`` labelled documents whose hashed ids are smallest."""
+    """A CRF fitted to the at most ``max_docs`` labelled documents whose hashed ids and texts are smallest."""
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,11 +271,11 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS)
             columns = [batch.column("bad"), pa.array(lines, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, ["bad", "lines"])
 
-    chosen = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", "quality")
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_docs)
-    chosen = chosen.select(F.col("doc_id").alias("labelled"), (1 - F.col("quality")).cast("int").alias("bad"))
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
+    known = known.select("doc_id", (1 - F.col("quality")).cast("int").alias("bad")).distinct()
     # At most max_docs rows are sent to every executor, and come back.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+    docs = landed(docs)
+    rows = located(docs, "text").join(F.broadcast(sampled(docs, known, max_docs)), ROW)
     found = rows.select("bad", "text").mapInArrow(marks, "bad int, lines array<int>").collect()
     return fit(sorted((r.bad, r.lines) for r in found))
 
@@ -287,6 +287,7 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts have no words and fail. Repeated rows are judged alike. Without labels of both kinds every line is
     content. An empty table gives no rows. Only doc_id and text are read, whole.
     """
+    docs = landed(docs)
     crf = train(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

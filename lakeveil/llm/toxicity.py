@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeveil.llm.common import located, text_of, texts
+from lakeveil.llm.common import ROW, located, sampled, text_of, texts
 from lakeveil.sources.workspace import stored
 
 MAX_TRAINING_DOCS = 20_000
@@ -293,9 +293,9 @@ def _sample(labelled: DataFrame, lexicon: dict[str, float], max_docs: int) -> tu
             found = [features(t, fold) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.float64()))], ["toxic", "x"])
 
-    ids = labelled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs).distinct()
-    # At most max_docs ids are sent out, and as many short rows come back.
-    rows = labelled.join(F.broadcast(ids), "doc_id").select("toxic", "text")
+    known = labelled.select("doc_id", "toxic").distinct()
+    # At most max_docs locators are sent out, and as many short rows come back.
+    rows = located(labelled, "text").join(F.broadcast(sampled(labelled, known, max_docs)), ROW).select("toxic", "text")
     kind = rows.schema["toxic"].dataType.simpleString()
     found = rows.mapInArrow(run, f"toxic {kind}, x array<double>").collect()
     rows = sorted((tuple(r.x), int(r.toxic > 0)) for r in found)  # whatever order they came in
@@ -305,7 +305,7 @@ def _sample(labelled: DataFrame, lexicon: dict[str, float], max_docs: int) -> tu
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: Column, max_docs: int = MAX_TRAINING_DOCS) -> Model:
-    """A model from the labelled ``docs`` for which ``rows`` holds; the trees see the at most ``max_docs`` with the smallest hashed ids."""
+    """A model from the labelled ``docs`` for which ``rows`` holds; the trees see the at most ``max_docs`` with the smallest hashed ids and texts."""
     labelled = _labelled(docs, labels, rows)
     lexicon = learn_lexicon(labelled)
     return fit(*_sample(labelled, lexicon, max_docs), lexicon)

@@ -252,6 +252,21 @@ def test_pieces_equal_the_library(texts):
         assert ours.decode(ids) == library.decode(ids)
 
 
+def test_samples_are_bounded_in_rows(spark, monkeypatch):
+    rows = [(1, f"text {i % 700}") for i in range(900)] + [(i, f"other {i}") for i in range(2, 600)] + [(None, "x")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = spark.createDataFrame([(i, i % 2, i % 2) for i in range(700)], "doc_id bigint, quality int, toxic int")
+    fitted = []
+    monkeypatch.setattr(quality, "fit", fitted.extend)
+    quality.train(frame, known, max_docs=100)
+    assert len(fitted) == 100 and {b for b, _ in fitted} == {0, 1}
+    monkeypatch.setattr(toxicity, "fit", lambda x, y, lexicon: y)
+    y = toxicity.train(frame, known, F.lit(True), max_docs=100)
+    assert len(y) == 100 and 0 < y.sum() < 100
+    # Equal rows are one; of the repeated id 700 texts are left.
+    assert len(toxicity.train(frame, known, F.lit(True), max_docs=5000)) == 700 + 598
+
+
 # ------------------------------------------------------------------ secrets
 
 
