@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
 # For the registered query only; a real key is a secret and comes from outside.
 PSEUDONYM_KEY = "registered query"
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeveil.llm import exact_dedup, mixing, mixing_lm, near_dup, pieces, pseudonyms, quality, secrets
-from lakeveil.llm import suffix_dedup, toxicity
+from lakeveil.llm import alignment, exact_dedup, line_dedup, manifest, mixing, mixing_lm, near_dup, pieces, pseudonyms
+from lakeveil.llm import quality, secrets, suffix_dedup, toxicity
 from lakeveil.llm.common import documents
-from lakeveil.llm.parameters import PSEUDONYM_KEY, labels, tokenizer_model
+from lakeveil.llm.line_dedup import lower_ascii
+from lakeveil.llm.oracles import LINE_ORACLE, manifest_oracle
+from lakeveil.llm.parameters import BYTE_MODEL, PSEUDONYM_KEY, labels, tokenizer_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,6 +94,27 @@ def op10_context_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", *names)
 
 
+@query()
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.aligned(documents(spark, sf_dir), tokenizer_model(BYTE_MODEL), tokenizer_model())
+    counts = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return found.select("doc_id", *counts, "groups_sha256")
+
+
+@query(manifest_oracle())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third checksum's row is presented with a tampered text."""
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 0
+    claimed = F.when(tampered, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    return manifest.manifest(documents(spark, sf_dir), claimed)
+
+
+@query(LINE_ORACLE)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
