@@ -12,18 +12,20 @@ prices its own texts. Measures are joined to the rows by the digest of the text.
 from __future__ import annotations
 
 import hashlib
-import os
+import itertools
+import json
 import re
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
-from tokenizers import Tokenizer
 
 from lakeveil.llm.common import FILE, POS, located
 from lakeveil.sources.workspace import stored
@@ -33,6 +35,9 @@ _CHUNK_CHARS = 1 << 20
 _CACHED_WORDS = 200_000
 # Longer words are aligned where they occur and not kept.
 _CACHED_CHARS = 64
+_PART_CHARS = 1 << 20
+# Fixed value: how a byte-level vocabulary of this kind divides a text before its merges.
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _MARK = "▁"
 
@@ -51,83 +56,141 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class Word:
-    """The alignment of one word: numbers of tokens, groups and links, the groups as text, and the linked id pairs."""
+class Word(NamedTuple):
+    """The alignment of one word: numbers of tokens of A and of B, of groups and of links as 32 bits each, the groups as
+    text, and the linked id pairs as 64 bits each."""
 
-    __slots__ = ("measures", "groups", "pairs")
+    measures: bytes
+    groups: bytes
+    pairs: bytes
 
-    def __init__(self, measures: tuple[int, int, int, int], groups: str, pairs: list[int]) -> None:
-        self.measures, self.groups, self.pairs = measures, groups, pairs
+
+_SPOILT = Word(bytes(16), b"", b"")
+
+
+def _ranks(byte_model: bytes) -> dict[bytes, int]:
+    """The byte-level vocabulary by bytes. Merges must be listed by rising ids, so that an id is its rank."""
+    model = json.loads(byte_model)["model"]
+    letters = _byte_letters()
+    ids = {t: i for t, i in model["vocab"].items() if all(c in letters for c in t)}
+    made = [ids["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    if any(x >= y for x, y in zip(made, made[1:])):
+        raise ValueError("the ids of the byte-level vocabulary don't follow the order of its merges")
+    return {bytes(letters[c] for c in t): i for t, i in ids.items()}
 
 
 class Aligner:
     """Both tokenizers, and the alignment of words by them. A pair of ids (a, b) is the number a * n_b + b."""
 
     def __init__(self, byte_model: bytes, piece_model: bytes) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = Tokenizer.from_buffer(byte_model)
-        self.a.encode_special_tokens = True
+        ranks = _ranks(byte_model)
+        self.a = tiktoken.Encoding("A", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
-        letters = _byte_letters()
-        self.bytes_a = {i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
-        self.bytes_b = []
-        for i in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(i)
-            is_byte = self.b.is_byte(i)
-            self.bytes_b.append(bytes([int(piece[3:5], 16)]) if is_byte else piece.replace(_MARK, " ").encode())
-        self.n_b = len(self.bytes_b)
-        self.mark = self.b.piece_to_id(_MARK)
         model = sentencepiece_model_pb2.ModelProto.FromString(piece_model)
         pieces = [p.piece for p in model.pieces]
+        self.bytes_b = [
+            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(pieces)
+        ]
+        self.n_b = len(pieces)
+        self.mark = self.b.piece_to_id(_MARK)
+        self.length_a = np.zeros(max(ranks.values()) + 1, np.int32)
+        self.length_a[list(ranks.values())] = [len(k) for k in ranks]
+        self.length_b = np.array([len(p) for p in self.bytes_b], np.int32)
+        decimals = [str(i).encode() for i in range(max(self.n_b, len(self.length_a)))]
+        self.width = len(decimals[-1])
+        self.decimals = np.frombuffer(b"".join(d.ljust(self.width + 1) for d in decimals), np.uint8)
+        self.decimals = self.decimals.reshape(len(decimals), self.width + 1)
+        self.places = np.array([len(d) for d in decimals], np.int8)
         plain = model.normalizer_spec.name == "identity" and not model.normalizer_spec.remove_extra_whitespaces
         # A cut is safe if no piece goes over it and the text is taken as it stands.
         self.cuttable = plain and not any("\n" in p or (_MARK in p[1:] and p.strip(_MARK)) for p in pieces)
-        self.cache: dict[str, Word | None] = {}
+        self.cache: dict[str, Word] = {}
 
     def words(self, text: str) -> list[str]:
         """Space and text in parts between which both tokenizers end a token."""
         return _CUT.split(" " + text) if self.cuttable else [" " + text]
 
-    def align(self, words: list[str]) -> list[Word | None]:
-        """The words' alignments; None where the two tokenizers' bytes differ from the word's."""
+    def align(self, words: list[str]) -> list[Word]:
+        """The words' alignments; ``_SPOILT`` where the pieces' bytes differ from the word's."""
         if len(self.cache) > _CACHED_WORDS:
             self.cache = {}
-        cache, found = self.cache, {}
-        new = [w for w in words if w not in cache]
-        ids_a = self.a.encode_batch_fast(new, add_special_tokens=False) if new else []
-        # The model puts a space in front; a word that starts otherwise loses the token of that space again.
-        ids_b = self.b.encode([w.removeprefix(" ") for w in new], num_threads=1) if new else []
-        for word, a, b in zip(new, ids_a, ids_b):
-            if not word.startswith(" ") and b[:1] == [self.mark]:
-                b = b[1:]
-            elif word == " ":  # at the end of a text; the model puts no space in front of nothing
-                b = [self.mark]
-            (cache if len(word) <= _CACHED_CHARS else found)[word] = self._aligned(word.encode(), a.ids, b)
+        found = {}
+        new, size = [], 0
+        for word in words:
+            if word not in self.cache:
+                new.append(word)
+                size += len(word)
+                if size >= _PART_CHARS:
+                    self._keep(new, found)
+                    new, size = [], 0
+        self._keep(new, found)
+        cache = self.cache
         return [cache[w] if w in cache else found[w] for w in words]
 
-    def _aligned(self, word: bytes, a: list[int], b: list[int]) -> Word | None:
-        bytes_a, bytes_b = list(map(self.bytes_a.__getitem__, a)), list(map(self.bytes_b.__getitem__, b))
-        if b"".join(bytes_a) != word or b"".join(bytes_b) != word:
-            return None
-        groups, pairs = [], []
-        i = j = first_i = first_j = 0
-        end_a, end_b = len(bytes_a[0]), len(bytes_b[0])
-        while True:
-            pairs.append(a[i] * self.n_b + b[j])
-            if end_a == end_b:
-                i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-                if i == len(a):
-                    break
-                first_i, first_j = i, j
-                end_a, end_b = end_a + len(bytes_a[i]), end_b + len(bytes_b[j])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(bytes_a[i])
-            else:
-                j += 1
-                end_b += len(bytes_b[j])
-        return Word((len(a), len(b), len(groups), len(pairs)), ";".join(groups), pairs)
+    def _keep(self, words: list[str], found: dict[str, Word]) -> None:
+        # White space at a word's end would go together with what follows it.
+        joined = [w for w in words if not w[-1].isspace()]
+        for part in [joined, *[[w] for w in words if w[-1].isspace()]]:
+            for word, aligned in zip(part, self._aligned(part)):
+                (self.cache if len(word) <= _CACHED_CHARS else found)[word] = aligned
+
+    def _pieces(self, words: list[str]) -> list[list[int]]:
+        # The model puts a space in front; a word that starts otherwise loses the token of that space again.
+        pieces = self.b.encode([w.removeprefix(" ") for w in words], num_threads=1)
+        for at, word in enumerate(words):
+            if word == " ":  # at the end of a text; the model puts no space in front of nothing
+                pieces[at] = [self.mark]
+            elif word[0] != " " and pieces[at][:1] == [self.mark]:
+                pieces[at] = pieces[at][1:]
+        return pieces
+
+    def _aligned(self, words: list[str]) -> list[Word]:
+        """All words in one flat stretch of bytes."""
+        if not words:
+            return []
+        raw = [w.encode() for w in words]
+        pieces = self._pieces(words)
+        sound = [b"".join(map(self.bytes_b.__getitem__, p)) == r for p, r in zip(pieces, raw)]
+        kept = [i for i, good in enumerate(sound) if good]
+        out = [_SPOILT] * len(words)
+        if not kept:
+            return out
+        ends = np.cumsum([len(raw[i]) for i in kept])
+        ids_a = np.array(self.a.encode_ordinary("".join([words[i] for i in kept])), np.int32)
+        ids_b = np.fromiter(itertools.chain.from_iterable([pieces[i] for i in kept]), np.int32)
+        ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
+        at_a, at_b = np.zeros(ends[-1] + 1, bool), np.zeros(ends[-1] + 1, bool)
+        at_a[ends_a], at_b[ends_b] = True, True
+        # Tokens, groups and links that end before or at each byte.
+        group_ends, link_ends = np.flatnonzero(at_a & at_b), np.flatnonzero(at_a | at_b)
+        done_a, done_b = np.cumsum(at_a, dtype=np.int32), np.cumsum(at_b, dtype=np.int32)
+        first = (done_a - at_a)[link_ends], (done_b - at_b)[link_ends]
+        pairs = ids_a[first[0]].astype(np.int64) * self.n_b + ids_b[first[1]]
+        text, text_ends = self._groups(ids_a, ids_b, ends_a, ends_b, group_ends, done_a[group_ends], done_b[group_ends])
+        link_at = np.searchsorted(link_ends, ends, "right")
+        totals = np.stack([done_a[ends], done_b[ends], np.searchsorted(group_ends, ends, "right"), link_at])
+        measures = np.diff(totals, axis=1, prepend=0).T.astype(np.int32)
+        text_at = text_ends[totals[0] + totals[1] - 1]
+        measured, text, linked = measures.tobytes(), text.tobytes(), pairs.tobytes()
+        low_text = low_link = 0
+        for k, (i, high_text, high_link) in enumerate(zip(kept, text_at.tolist(), link_at.tolist())):
+            out[i] = Word(measured[16 * k : 16 * k + 16], text[low_text : high_text - 1], linked[8 * low_link : 8 * high_link])
+            low_text, low_link = high_text, high_link
+        return out
+
+    def _groups(self, ids_a, ids_b, ends_a, ends_b, group_ends, through_a, through_b):
+        """(the groups as decimal text with a mark after every id, where each id's text ends)."""
+        group_a, group_b = np.searchsorted(group_ends, ends_a), np.searchsorted(group_ends, ends_b)
+        # A group's ids of A, then those of B.
+        place_a = np.arange(len(ids_a)) + np.concatenate([[0], through_b])[group_a]
+        place_b = np.arange(len(ids_b)) + through_a[group_b]
+        ids, marks = np.empty(len(ids_a) + len(ids_b), np.int32), np.empty(len(ids_a) + len(ids_b), np.uint8)
+        ids[place_a], ids[place_b] = ids_a, ids_b
+        marks[place_a] = np.where(group_ends[group_a] == ends_a, ord("|"), ord(","))
+        marks[place_b] = np.where(group_ends[group_b] == ends_b, ord(";"), ord(","))
+        table, places = self.decimals[ids], self.places[ids]
+        table[np.arange(len(ids)), places] = marks
+        return table[np.arange(self.width + 1) <= places[:, None]], np.cumsum(places + 1)
 
 
 def chunks(text: str, size: int) -> Iterator[str]:
@@ -178,22 +241,17 @@ class Block:
 
     def record(self, block: int) -> pa.RecordBatch:
         words = self.aligner.align(list(self.codes))
-        sound = np.array([w is not None for w in words], bool)
-        measures = np.array([w.measures if w else (0, 0, 0, 0) for w in words], np.int64).reshape(-1, 4)
-        groups = [w.groups if w else "" for w in words]
-        kept, digests = [], []
-        totals = np.zeros((len(self.texts), 4), np.int64)
+        sound = np.array([w is not _SPOILT for w in words], bool)
+        measures = np.frombuffer(b"".join([w.measures for w in words]), np.int32).reshape(-1, 4).astype(np.int64)
+        groups = [w.groups for w in words]
+        # One word that doesn't come back byte for byte spoils its whole text.
+        kept = [c if sound[c].all() else c[:0] for _, _, c in self.texts]
+        totals = np.array([measures[c].sum(axis=0) for c in kept])
+        digests = [_groups_digest(groups, c) for c in kept]
         times = np.zeros(len(words), np.int64)
-        for at, (_, copies, codes) in enumerate(self.texts):
-            # One word that doesn't come back byte for byte spoils its whole text.
-            if not sound[codes].all():
-                codes = codes[:0]
-            kept.append(codes)
-            totals[at] = measures[codes].sum(axis=0)
-            np.add.at(times, codes, copies)
-            digests.append(_groups_digest(groups, codes))
-        links = np.array([len(w.pairs) if w else 0 for w in words], np.int32)
-        linked = np.array([p for w in words if w for p in w.pairs], np.int64)
+        np.add.at(times, np.concatenate(kept), np.repeat([t[1] for t in self.texts], [len(c) for c in kept]))
+        links = np.array([len(w.pairs) // 8 for w in words], np.int32)
+        linked = np.frombuffer(b"".join([w.pairs for w in words]), np.int64)
         pairs, members = np.unique(linked, return_inverse=True)
         weights = np.zeros(len(pairs), np.int64)
         np.add.at(weights, members, np.repeat(times, links))
@@ -206,12 +264,12 @@ class Block:
         return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _groups_digest(groups: list[str], codes: np.ndarray) -> str:
+def _groups_digest(groups: list[bytes], codes: np.ndarray) -> str:
     if not len(codes):
         return ""
     digest, step = hashlib.sha256(), 1 << 16
     for start in range(0, len(codes), step):
-        digest.update(b";" * (start > 0) + ";".join([groups[c] for c in codes[start : start + step].tolist()]).encode())
+        digest.update(b";" * (start > 0) + b";".join([groups[c] for c in codes[start : start + step].tolist()]))
     return digest.hexdigest()
 
 
