@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lakeveil.functions.sqltext import string
+
 REDACTED = "[REDACTED]"
 _ONE_ADDRESS = r"\A[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\z"
 
@@ -122,3 +124,48 @@ def mask_column(
     if masking_function == "REDACT":
         return redact_mask(value)
     return nullify_mask(value)
+
+
+# The same masks as SQL text, for views. A view keeps its text, which Column expressions don't have.
+
+
+def _holds_any_sql(text: str, marks: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({text}, {string(mark)})" for mark in marks) + ")"
+
+
+def _partial_sql(text: str) -> str:
+    rest, breaks = f"substring({text}, 2)", string("\n")
+    line = (
+        f"CASE WHEN {_holds_any_sql('line', _RARE_BREAKS)} THEN regexp_replace(line, '.', '*')"
+        " ELSE repeat('*', length(line)) END"
+    )
+    lines = f"array_join(transform(split({rest}, {breaks}), line -> {line}), {breaks})"
+    masked = f"CASE WHEN {_holds_any_sql(rest, [chr(10), *_RARE_BREAKS])} THEN {lines} ELSE repeat('*', length({rest})) END"
+    return f"concat(substring({text}, 1, 1), {masked})"
+
+
+def _keep_ends_sql(text: str, head: int, tail: int) -> str:
+    kept = f"concat(left({text}, {head}), repeat('*', length({text}) - {head + tail}), right({text}, {tail}))"
+    return f"CASE WHEN length({text}) > {head + tail} THEN {kept} ELSE {_partial_sql(text)} END"
+
+
+def _email_sql(text: str) -> str:
+    kept = f"concat(left(substring_index({text}, '@', 1), 1), '***@', substring_index({text}, '@', -1))"
+    return f"CASE WHEN {text} RLIKE {string(_ONE_ADDRESS)} THEN {kept} ELSE {_partial_sql(text)} END"
+
+
+def mask_sql(value: str, masking_function: str | None, category: str | None = None) -> str:
+    """``mask_column`` of the SQL expression ``value``."""
+    text = f"cast({value} AS string)"
+    if masking_function == "PARTIAL_MASK":
+        by_category = {
+            "EMAIL": _email_sql(text),
+            "PHONE": _keep_ends_sql(text, 3, 2),
+            "NATIONAL_ID": _keep_ends_sql(text, 3, 4),
+        }
+        return by_category.get(category) or _partial_sql(text)
+    if masking_function == "HASH_MASK":
+        return f"sha2({text}, 256)"
+    if masking_function == "REDACT":
+        return f"CASE WHEN {text} IS NOT NULL THEN {string(REDACTED)} END"
+    return "cast(NULL AS string)"

@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeveil.functions.masks import mask_column
+from lakeveil.functions.masks import mask_column, mask_sql
+from lakeveil.functions.sqltext import identifier
 from lakeveil.operators.profile import quoted
 
 _SPREAD = "lakeveil_spread"
@@ -32,6 +33,25 @@ def collect_actions(plan: DataFrame) -> dict[str, ColumnAction]:
     return {r.column_name: ColumnAction(*r) for r in rows}
 
 
+def visible(
+    names: list[str],
+    actions: dict[str, ColumnAction],
+    columns: list[str] | None = None,
+    unknown: str = "allow",
+) -> list[ColumnAction]:
+    """What is shown of a table with the columns ``names``, in order; see ``govern``."""
+    if unknown not in ("allow", "deny"):
+        raise ValueError(f"unknown must be 'allow' or 'deny', not {unknown!r}")
+    if columns is not None:
+        for name in columns:
+            action = actions.get(name)
+            if action is None or action.action == "DENY":
+                raise ValueError(f"no readable column {name!r}: it is missing, or the role may not see it")
+    fallback = "ALLOW" if unknown == "allow" else "DENY"
+    shown = [actions.get(n) or ColumnAction(n, fallback) for n in (columns if columns is not None else names)]
+    return [a for a in shown if a.action != "DENY"]
+
+
 def govern(
     df: DataFrame,
     actions: dict[str, ColumnAction],
@@ -44,26 +64,21 @@ def govern(
     denied columns are left out, and those the plan does not know pass
     (``unknown="allow"``) or are left out (``"deny"``).
     """
-    if unknown not in ("allow", "deny"):
-        raise ValueError(f"unknown must be 'allow' or 'deny', not {unknown!r}")
-    if columns is not None:
-        for name in columns:
-            action = actions.get(name)
-            if action is None or action.action == "DENY":
-                raise ValueError(f"no readable column {name!r}: it is missing, or the role may not see it")
-    fallback = "ALLOW" if unknown == "allow" else "DENY"
     selected = []
-    for name in columns if columns is not None else df.columns:
-        action = actions.get(name) or ColumnAction(name, fallback)
-        if action.action == "DENY":
-            continue
+    for action in visible(df.columns, actions, columns, unknown):
+        value = quoted(action.column_name)
         if action.action == "MASK":
-            selected.append(mask_column(quoted(name), action.masking_function, action.category).alias(name))
-        else:
-            selected.append(quoted(name))
+            value = mask_column(value, action.masking_function, action.category).alias(action.column_name)
+        selected.append(value)
     return df.select(*selected)
 
 
+def action_sql(action: ColumnAction) -> str:
+    """A visible column as SQL text, as ``govern`` shows it."""
+    name = identifier(action.column_name)
+    return f"{mask_sql(name, action.masking_function, action.category)} AS {name}" if action.action == "MASK" else name
+
+
 def masked_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str = "inner") -> DataFrame:
     """Join two governed tables on hash-masked keys.
 

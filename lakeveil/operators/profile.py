@@ -161,16 +161,55 @@ def sample_tables(
     return union_all(parts)
 
 
-def _with_unbounded(part: DataFrame, tables: dict, short: list[tuple[str, str]], k: int) -> DataFrame:
-    """Replace the samples of the columns in ``short`` by unbounded ones."""
+def _with_unbounded(
+    part: DataFrame, tables: dict, short: list[tuple[str, str]], k: int, known: DataFrame | None = None
+) -> DataFrame:
+    """Replace the samples of the columns in ``short`` by unbounded ones, of ``known`` values too."""
     again: Columns = {}
     for table, name in short:
         again.setdefault(table, []).append(name)
-    redone = _smallest(union_all([_candidates(tables[t], t, names, {}) for t, names in again.items()]), k)
     keep = [
         ~((F.col("table_name") == t) & F.col("column_name").isin(*names)) for t, names in again.items()
     ]
-    return part.where(reduce(lambda a, b: a & b, keep)).unionAll(redone)
+    others = reduce(lambda a, b: a & b, keep)
+    values = [_candidates(tables[t], t, names, {}) for t, names in again.items()]
+    if known is not None:
+        values.append(known.where(~others))
+    return part.where(others).unionAll(_smallest(union_all(values), k))
+
+
+def merge_samples(
+    state: DataFrame, tables: dict[str, DataFrame], columns: Columns, sample_size: int = DEFAULT_SAMPLE_SIZE
+) -> DataFrame:
+    """The samples of rows seen before and of new ones, from the earlier samples and the new rows alone.
+
+    ``state`` has samples as ``sample_tables`` gives them, ``tables`` the new rows. The k smallest of all are among
+    the k smallest of both parts, so the result is that of reading everything. Where the state holds k values, its
+    greatest digest bounds what is taken from the new rows: one pass, without a sketch.
+    """
+    chosen = _chosen(tables, columns)
+    if not chosen:
+        return state
+    held = state.groupBy("table_name", "column_name").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.md5("sample_value")).alias("last")
+    )
+    # One row per column.
+    bounds = {(r.table_name, r.column_name): r.last for r in held.collect() if r.n >= sample_size}
+    open_columns = {t: [n for n in names if (t, n) not in bounds] for t, names in chosen.items()}
+    open_columns = {t: names for t, names in open_columns.items() if names}
+    estimated = _digest_bounds(tables, open_columns, sample_size) if open_columns else {}
+    known = state.select("table_name", "column_name", "sample_value")
+    candidates = [
+        union_all([_candidates(tables[t], t, chosen[t], bounds | estimated) for t in batch])
+        for batch in _batches(list(chosen))
+    ]
+    part = stored(_smallest(union_all([known, *candidates]), sample_size), "samples")
+    if not estimated:
+        return part
+    counts = part.groupBy("table_name", "column_name").agg(F.count(F.lit(1)).alias("n")).collect()
+    found = {(r.table_name, r.column_name): r.n for r in counts}
+    short = [key for key in estimated if found.get(key, 0) < sample_size]
+    return _with_unbounded(part, tables, short, sample_size, known) if short else part
 
 
 def sample_column(df: DataFrame, column: str, sample_size: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:
