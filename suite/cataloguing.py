@@ -12,7 +12,7 @@ from lakeveil.plans import jobs, seeds
 from lakeveil.plans.schemas import SCHEMAS
 from lakeveil.sources import catalog, ingest
 from lakeveil.sources.store import MetadataStore
-from lakeveil.sources.workspace import new_folder
+from lakeveil.sources.workspace import new_folder, stored
 from suite.base import (
     ALL,
     POLICIES_CTE,
@@ -97,12 +97,74 @@ def ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.report(spark, results).drop("error")
 
 
-@query("select c_custkey as id, c_name as name from customer")
+@query("select c_custkey as id, c_name as name from customer union all select s_suppkey, s_name from supplier")
 def create_insert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    namespace = _own_namespace(spark, "people")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {namespace}.people (id BIGINT, name STRING) USING parquet")
-    table(spark, sf_dir, "customer").select("c_custkey", "c_name").write.insertInto(f"{namespace}.people")
-    return spark.table(f"{namespace}.people")
+    """Two inserts, matched by name, into a table that is created twice."""
+    people = f"{_own_namespace(spark, 'people')}.people"
+    for _ in range(2):
+        ingest.create_table(spark, people, "id BIGINT, name STRING")
+    ingest.insert_rows(table(spark, sf_dir, "customer").selectExpr("c_name as name", "c_custkey as id"), people)
+    ingest.insert_rows(table(spark, sf_dir, "supplier").selectExpr("s_suppkey as id", "s_name as name"), people)
+    return spark.table(people)
+
+
+def _damaged_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The orders as CSV with cells that do not fit: every 7th price, every 11th customer, every 13th date."""
+    folder = new_folder(spark, "csv")
+    orders = table(spark, sf_dir, "orders")
+    damaged = orders.selectExpr(
+        "o_orderkey",
+        "if(o_orderkey % 11 = 0, concat('C', o_custkey), cast(o_custkey as string)) as o_custkey",
+        "o_orderstatus",
+        "if(o_orderkey % 7 = 0, 'n/a', cast(o_totalprice as string)) as o_totalprice",
+        "if(o_orderkey % 13 = 0, 'soon', date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\")) as o_orderdate",
+        "o_orderpriority",
+    )
+    ingest.export_csv(damaged, f"{folder}/orders.csv")
+    return folder
+
+
+def _audited(spark: SparkSession, sf_dir: str) -> tuple[str, list[ingest.IngestResult]]:
+    namespace, schema = _own_namespace(spark, "audited"), table(spark, sf_dir, "orders").schema
+    folder = _damaged_csv(spark, sf_dir)
+    return namespace, ingest.ingest_all(spark, folder, {"orders": schema}, namespace, audited=True)
+
+
+_LOST = {"o_custkey": "o_orderkey % 11 = 0", "o_totalprice": "o_orderkey % 7 = 0", "o_orderdate": "o_orderkey % 13 = 0"}
+
+
+@query(" union all ".join(
+    f"select 'orders' as table_name, '{c}' as column_name, count(*) filter ({_LOST.get(c, 'false')}) as cells_lost,"
+    " count(*) as row_count from orders" for c in TABLES["orders"]))
+def ingest_cell_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells lost per column, counted while a damaged file is loaded."""
+    _, results = _audited(spark, sf_dir)
+    return ingest.lost_cells(spark, results).withColumn("row_count", F.lit(results[0].row_count))
+
+
+_LOST_LIST = ", ".join(f"case when {_LOST[c]} then '{c}' end" for c in TABLES["orders"] if c in _LOST)
+
+
+@query(f"select o_orderkey, concat_ws(',', {_LOST_LIST}) as columns from orders where {' or '.join(_LOST.values())}")
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reject table: which cells of which lines did not fit."""
+    namespace, _ = _audited(spark, sf_dir)
+    return spark.table(f"{namespace}.orders__rejects").select(
+        F.split("line", ",")[0].cast("bigint").alias("o_orderkey"), F.array_join("columns", ",").alias("columns")
+    )
+
+
+@query("select 'old' as seen, count(*) as row_count, sum(c_custkey)::bigint as keys from customer where c_custkey % 2 = 0"
+       " union all select 'new', count(*), sum(c_custkey)::bigint from customer")
+def ingest_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that was under way before a reload still finds the old rows; one that comes after it the new ones."""
+    loaded, customers = f"{_own_namespace(spark, 'reloaded')}.customer", table(spark, sf_dir, "customer")
+    ingest.write_table(customers.where("c_custkey % 2 = 0"), loaded)
+    early = spark.table(loaded)
+    ingest.write_table(customers, loaded)
+    sums = [F.count(F.lit(1)).alias("row_count"), F.sum("c_custkey").alias("keys")]
+    old, new = early.agg(*sums), spark.table(loaded).agg(*sums)
+    return old.select(F.lit("old").alias("seen"), "*").unionAll(new.select(F.lit("new").alias("seen"), "*"))
 
 
 @query(f"{TX_SQL} select * from transactions")
@@ -310,6 +372,53 @@ def scan_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"with {_CLASSIFIED} select table_name, column_name, category as detected_category, detection_method,"
+       " round(confidence, 4)::double as confidence_score, case detection_method when 'UNKNOWN' then 3 else 1 end::bigint"
+       " as scans from classified")
+def scan_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest record of every column after three scans that reuse samples, merged run by run; the history is compacted in between."""
+    raw, namespace = raw_namespace(spark, sf_dir), f"gov_{uuid.uuid4().hex[:12]}"
+    store = MetadataStore(spark, namespace).open(new_folder(spark, namespace))
+    jobs.catalogue_namespace(spark, store, raw)
+    for _ in range(3):
+        jobs.scan_namespace(spark, store, raw, reuse_samples=True)
+        store.compact_history()
+    names = store.read("columns_metadata").select("column_id", "table_name", "column_name")
+    return store.read("pii_scan_state").join(names, "column_id").select(
+        "table_name", "column_name", "detected_category", "detection_method",
+        F.col("confidence_score").cast("double").alias("confidence_score"), "scans",
+    )
+
+
+@query("select 'first' as run, 14::bigint as tables, count(*) as columns, sum(row_count)::bigint as row_count from"
+       f" (with {columns_cte(ALL)}, counts as ({_COUNTS}) select * from cols join counts using (table_name)) union all"
+       f" select 'again', 14, count(*), sum(row_count)::bigint from (with {columns_cte(ALL)}, counts as ({_COUNTS})"
+       " select * from cols join counts using (table_name))")
+def guarded_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables and columns registered, and registered again from another session that read nothing of it."""
+    namespace = f"gov_{uuid.uuid4().hex[:12]}"
+    store = MetadataStore(spark, namespace).open(new_folder(spark, namespace))
+    columns, counts = profile.schema_frame(tables(spark, sf_dir, ALL), "raw"), _row_counts(tables(spark, sf_dir, ALL))
+    frames = []
+    for run, session in (("first", spark), ("again", spark.newSession())):
+        mine, now = MetadataStore(session, namespace), F.current_timestamp()
+        found = session.createDataFrame(columns.toPandas())
+        fresh = catalogue.new_columns(found, mine.read("columns_metadata").where("false"))
+        times = [now.alias("created_at"), now.alias("updated_at")]
+        held = {*fresh.columns, "created_at", "updated_at"}
+        missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in mine.schema("columns_metadata") if f.name not in held]
+        mine.append_new("columns_metadata", fresh.select("*", *missing, *times))
+        mine.append_new("tables_metadata", fresh.select("table_id", "namespace", "table_name").distinct().select("*", *times))
+        spark.catalog.refreshTable(f"{namespace}.columns_metadata")
+        spark.catalog.refreshTable(f"{namespace}.tables_metadata")
+        held = store.read("columns_metadata").join(counts, "table_name")
+        listed = store.read("tables_metadata").agg(F.count(F.lit(1)).alias("tables"))
+        sums = held.agg(F.count(F.lit(1)).alias("columns"), F.sum("row_count").alias("row_count"))
+        # Stored, as the next run changes the tables.
+        frames.append(stored(listed.join(sums).select(F.lit(run).alias("run"), "*"), "held"))
+    return profile.union_all(frames)
+
+
 @query(f"with {_CLASSIFIED} select count(distinct table_name) as tables_processed, count(*) as columns_scanned,"
        " count(category) as pii_detected, count(*) - count(category) as unsure, 0::bigint as clean from classified")
 def scan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

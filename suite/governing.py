@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,10 @@ from lakeveil.functions import masks
 from lakeveil.operators import catalogue, classify, governed, policy
 from lakeveil.operators.generate import generate_for
 from lakeveil.operators.governed import ColumnAction
+from lakeveil.operators.profile import union_all
 from lakeveil.plans import jobs, seeds
+from lakeveil.sources.ingest import raise_on_failure
+from lakeveil.sources.store import MetadataStore
 from lakeveil.sources.workspace import new_folder
 from lakeveil.streaming.governed_stream import write_governed
 from suite.base import (
@@ -22,6 +27,7 @@ from suite.base import (
     partial_sql,
     profiled,
     query,
+    raw_namespace,
     table,
 )
 from suite.generating import AS_OF, CITIZEN_SQL, ids
@@ -180,6 +186,69 @@ def access_policy_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ governed reads
 
 
+def _two_namespaces(spark: SparkSession, sf_dir: str) -> tuple[MetadataStore, list[str]]:
+    """One store; a namespace with the customers and one with the suppliers, each catalogued and scanned in turn."""
+    store = MetadataStore(spark, f"gov_{uuid.uuid4().hex[:12]}")
+    store.open(new_folder(spark, store.namespace))
+    names = [raw_namespace(spark, sf_dir, ["customer", "nation"]), raw_namespace(spark, sf_dir, ["supplier", "part"])]
+    for name in names:
+        raise_on_failure(jobs.catalogue_namespace(spark, store, name))
+        jobs.scan_namespace(spark, store, name, strict=True)
+    return store, names
+
+
+@query("select 'customer' as table_name, sha256(c_custkey::varchar) as id, sha256(c_name) as name, c_nationkey as nation,"
+       " c_acctbal as balance from customer union all select 'supplier', s_suppkey::varchar, sha256(s_name), s_nationkey,"
+       f" s_acctbal from supplier union all select 'part', p_partkey::varchar, {partial_sql('p_name')}, p_size,"
+       " p_retailprice from part")
+def governed_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an analyst sees of both namespaces after the second one was scanned."""
+    store, (first, second) = _two_namespaces(spark, sf_dir)
+    shown = [
+        jobs.governed_table(spark, store, first, "customer", "ANALYST").select(
+            F.lit("customer"), "c_custkey", "c_name", "c_nationkey", "c_acctbal"),
+        jobs.governed_table(spark, store, second, "supplier", "ANALYST").select(
+            F.lit("supplier"), F.col("s_suppkey").cast("string"), "s_name", "s_nationkey", "s_acctbal"),
+        jobs.governed_table(spark, store, second, "part", "ANALYST").select(
+            F.lit("part"), F.col("p_partkey").cast("string"), "p_name", "p_size", "p_retailprice"),
+    ]
+    return union_all(shown).toDF("table_name", "id", "name", "nation", "balance")
+
+
+_HASH, _STARS = "sha256({0}::varchar)", "'[REDACTED]'"
+
+
+def _views_sql() -> str:
+    """Customers with their orders by role: the join goes over the masked keys where they keep equality."""
+    parts = []
+    for role, key, name in (("ADMIN", "{0}::varchar", "c_name"), ("ANALYST", _HASH, _HASH.format("c_name"))):
+        parts.append(
+            f"select '{role}' as role_name, {key.format('c_custkey')} as c_custkey, {name} as c_name, c_mktsegment,"
+            " count(o_orderkey) as orders from customer left join orders on o_custkey = c_custkey group by all"
+        )
+    parts.append(f"select 'AUDITOR', {_STARS}, {_STARS}, c_mktsegment, count(*) from customer group by all")
+    return " union all ".join(parts)
+
+
+@query(_views_sql())
+def governed_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Permanent views per role, queried as SQL text."""
+    store, raw = governed_store(spark, sf_dir)
+    frames = []
+    for role in seeds.ROLES:
+        views = f"{raw}_{role.lower()}"
+        jobs.publish_views(spark, store, raw, role, views)
+        if role == "AUDITOR":
+            text = f"SELECT c_custkey, c_name, c_mktsegment, count(1) AS orders FROM {views}.customer GROUP BY ALL"
+        else:
+            text = (
+                "SELECT cast(c_custkey AS string) AS c_custkey, c_name, c_mktsegment, count(o_orderkey) AS orders"
+                f" FROM {views}.customer LEFT JOIN {views}.orders ON o_custkey = c_custkey GROUP BY ALL"
+            )
+        frames.append(spark.sql(text).select(F.lit(role).alias("role_name"), "*"))
+    return union_all(frames)
+
+
 def _governed(spark: SparkSession, sf_dir: str, name: str, role: str, columns: list[str] | None = None) -> DataFrame:
     """The table as the role sees it, by the plan in the stored catalogue."""
     store, raw = governed_store(spark, sf_dir)

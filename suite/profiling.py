@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,10 @@ from lakeveil.functions.names import alias_contains_sql, alias_exact_sql, normal
 from lakeveil.functions.text import as_text
 from lakeveil.operators import classify, profile
 from lakeveil.plans import seeds
+from lakeveil.plans.jobs import refresh_samples
+from lakeveil.sources.ingest import create_namespace, write_table
+from lakeveil.sources.store import MetadataStore
+from lakeveil.sources.workspace import new_folder
 from suite.base import (
     ALL,
     CLASSIFIED_CTE,
@@ -48,6 +54,19 @@ def column_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.sample_tables(orders, {"orders": ["o_orderdate", "o_custkey"]}).drop("table_name")
 
 
+@query(f"with {samples_cte(['lineitem'])} select column_name, sample_rank::int as sample_rank, sample_value from samples")
+def sample_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of a table that grew: of its first rows, then brought up to date from the files that came after."""
+    lines = table(spark, sf_dir, "lineitem")
+    raw, namespace = f"grown_{uuid.uuid4().hex[:12]}", f"gov_{uuid.uuid4().hex[:12]}"
+    create_namespace(spark, raw, new_folder(spark, raw))
+    store = MetadataStore(spark, namespace).open(new_folder(spark, namespace))
+    write_table(lines.where("l_orderkey % 3 = 0"), f"{raw}.lineitem")
+    refresh_samples(spark, store, raw, {"lineitem": lines.columns})
+    lines.where("l_orderkey % 3 <> 0").write.insertInto(f"{raw}.lineitem")
+    return refresh_samples(spark, store, raw, {"lineitem": lines.columns}).drop("table_name")
+
+
 @query(f"select event_id, {text_sql('event_id', 'bigint')} as id_text, {text_sql('ts', 'timestamp_ntz')} as ts_text,"
        f" {text_sql('value', 'double')} as value_text,"
        f" {text_sql('value * 1e8', 'double')} as large_text, {text_sql('floor(value) * 1e17', 'double')} as huge_text"
