@@ -40,7 +40,7 @@ WEAK = {
     ),
     "endpoint": (
         r"(?i:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3|ftp)://[^\x20\x09-\x0D\"'<>]+"
-        r"|(?i:host|hostname|endpoint|server)\x20*[:=]\x20*[\"']?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        r"|(?i:host|hostname|endpoint|server)\x20*[:=]\x20*[\"']?[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
         0, 6, "endpoint",
     ),
 }
