@@ -68,7 +68,7 @@ class Word(NamedTuple):
 _SPOILT = Word(bytes(16), b"", b"")
 
 
-def _ranks(byte_model: bytes) -> dict[bytes, int]:
+def byte_ranks(byte_model: bytes) -> dict[bytes, int]:
     """The byte-level vocabulary by bytes. Merges must be listed by rising ids, so that an id is its rank."""
     model = json.loads(byte_model)["model"]
     letters = _byte_letters()
@@ -82,8 +82,7 @@ def _ranks(byte_model: bytes) -> dict[bytes, int]:
 class Aligner:
     """Both tokenizers, and the alignment of words by them. A pair of ids (a, b) is the number a * n_b + b."""
 
-    def __init__(self, byte_model: bytes, piece_model: bytes) -> None:
-        ranks = _ranks(byte_model)
+    def __init__(self, ranks: dict[bytes, int], piece_model: bytes) -> None:
         self.a = tiktoken.Encoding("A", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
         model = sentencepiece_model_pb2.ModelProto.FromString(piece_model)
@@ -283,11 +282,11 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.int32)
 
 
-def _blocks(byte_model: bytes, piece_model: bytes, block_bytes: int) -> Callable:
+def _blocks(ranks: dict[bytes, int], piece_model: bytes, block_bytes: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        aligner = Aligner(byte_model, piece_model)
+        aligner = Aligner(ranks, piece_model)
         number = TaskContext.get().partitionId() << 32
         block = Block(aligner)
         for batch in batches:
@@ -347,14 +346,12 @@ def aligned(docs: DataFrame, byte_file: str, piece_file: str, block_bytes: int =
     ``count_sum`` adds up their pairs' counts. Repeated rows count as often as they occur. An empty table gives no
     rows; columns other than doc_id and text are not read. The files are read on the driver and sent along.
     """
-    models = []
-    for name in (byte_file, piece_file):
-        with open(name, "rb") as file:
-            models.append(file.read())
-    n_b = Aligner(*models).n_b  # fails here rather than in the tasks
+    with open(byte_file, "rb") as one, open(piece_file, "rb") as other:
+        ranks, piece_model = byte_ranks(one.read()), other.read()
+    n_b = Aligner(ranks, piece_model).n_b  # fails here rather than in the tasks
     texts = docs.select("text").where("text <> ''").groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
     texts = texts.select(F.unhex(F.sha2("text", 256)).alias("digest"), "copies", "text")
-    blocks = stored(texts.mapInArrow(_blocks(*models, block_bytes), _BLOCK_SCHEMA), "alignment-blocks")
+    blocks = stored(texts.mapInArrow(_blocks(ranks, piece_model, block_bytes), _BLOCK_SCHEMA), "alignment-blocks")
 
     held = blocks.select(F.col("block").alias("holder"), F.explode("pairs").alias("pair"))
     prices = held.join(pair_counts(blocks, n_b).hint("merge"), "pair").select("holder", "pair", "n", "best")
