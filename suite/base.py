@@ -126,10 +126,16 @@ def governed_store(spark: SparkSession, sf_dir: str) -> tuple[MetadataStore, str
     return store, raw
 
 
+_PROFILES: dict[tuple[str, ...], tuple[DataFrame, DataFrame]] = {}
+
+
 def profiled(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(columns, samples) of the named tables."""
-    frames = tables(spark, sf_dir, names)
-    return profile.schema_frame(frames, "raw"), profile.sample_tables(frames)
+    """(columns, samples) of the named tables. The samples are a stored table, made once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, *names)
+    if key not in _PROFILES:
+        frames = tables(spark, sf_dir, names)
+        _PROFILES[key] = profile.schema_frame(frames, "raw"), profile.sample_tables(frames)
+    return _PROFILES[key]
 
 
 # ---------------------------------------------------------------- DuckDB text
