@@ -60,9 +60,14 @@ def _names_by_table(columns: DataFrame) -> dict[str, list[str]]:
 
 
 def catalogue_namespace(
-    spark: SparkSession, store: MetadataStore, namespace: str, sample_size: int = profile.DEFAULT_SAMPLE_SIZE
+    spark: SparkSession,
+    store: MetadataStore,
+    namespace: str,
+    sample_size: int = profile.DEFAULT_SAMPLE_SIZE,
+    reuse_samples: bool = False,
 ) -> list[IngestResult]:
-    """Register new tables and columns with samples. Running it again adds nothing."""
+    """Register new tables and columns with samples. Running it again adds nothing. With ``reuse_samples`` the samples
+    are kept in the store, so that a scan that reuses them doesn't read the tables again."""
 
     def register(names: list[str]) -> None:
         tables = {t: catalog.load_table(spark, namespace, t) for t in names}
@@ -71,7 +76,10 @@ def catalogue_namespace(
         pending = _names_by_table(columns)
         now = F.current_timestamp()
         if pending:
-            samples = profile.sample_tables(tables, pending, sample_size)
+            if reuse_samples:
+                samples = refresh_samples(spark, store, namespace, pending, sample_size)
+            else:
+                samples = profile.sample_tables(tables, pending, sample_size)
             rows = catalogue.attach_samples(columns, profile.samples_as_arrays(samples))
             empty = {
                 "pii_category": "string",

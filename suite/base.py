@@ -121,8 +121,8 @@ def governed_store(spark: SparkSession, sf_dir: str) -> tuple[MetadataStore, str
     store = MetadataStore(spark, f"gov_{raw}")
     if not spark.catalog.databaseExists(store.namespace):
         fresh = MetadataStore(spark, f"gov_{raw}").open(new_folder(spark, store.namespace))
-        raise_on_failure(jobs.catalogue_namespace(spark, fresh, raw))
-        jobs.scan_namespace(spark, fresh, raw, strict=True)
+        raise_on_failure(jobs.catalogue_namespace(spark, fresh, raw, reuse_samples=True))
+        jobs.scan_namespace(spark, fresh, raw, strict=True, reuse_samples=True)
     return store, raw
 
 

@@ -379,7 +379,7 @@ def scan_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest record of every column after three scans that reuse samples, merged run by run; the history is compacted in between."""
     raw, namespace = raw_namespace(spark, sf_dir), f"gov_{uuid.uuid4().hex[:12]}"
     store = MetadataStore(spark, namespace).open(new_folder(spark, namespace))
-    jobs.catalogue_namespace(spark, store, raw)
+    jobs.catalogue_namespace(spark, store, raw, reuse_samples=True)
     for _ in range(3):
         jobs.scan_namespace(spark, store, raw, reuse_samples=True)
         store.compact_history()

@@ -192,8 +192,8 @@ def _two_namespaces(spark: SparkSession, sf_dir: str) -> tuple[MetadataStore, li
     store.open(new_folder(spark, store.namespace))
     names = [raw_namespace(spark, sf_dir, ["customer", "nation"]), raw_namespace(spark, sf_dir, ["supplier", "part"])]
     for name in names:
-        raise_on_failure(jobs.catalogue_namespace(spark, store, name))
-        jobs.scan_namespace(spark, store, name, strict=True)
+        raise_on_failure(jobs.catalogue_namespace(spark, store, name, reuse_samples=True))
+        jobs.scan_namespace(spark, store, name, strict=True, reuse_samples=True)
     return store, names
 
 

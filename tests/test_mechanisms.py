@@ -343,3 +343,18 @@ def test_a_reload_or_a_larger_sample_reads_anew(spark):
     jobs.catalogue_namespace(spark, store, raw)
     summary, report = jobs.scan_namespace(spark, store, raw, reuse_samples=True)
     assert {r.status for r in report} == {"LOADED"} and summary.first().columns_scanned == 5
+
+
+def test_a_scan_after_cataloguing_reads_no_table_again(spark, monkeypatch):
+    store, raw = store_of(spark), namespace_of(spark, "raw")
+    ingest.write_table(people(spark, 40), f"{raw}.people")
+    jobs.catalogue_namespace(spark, store, raw, reuse_samples=True)
+
+    def fail(*_):
+        raise AssertionError("a table was read")
+
+    monkeypatch.setattr(profile, "_candidates", fail)
+    _, report = jobs.scan_namespace(spark, store, raw, reuse_samples=True)
+    assert [r.status for r in report] == ["LOADED"]
+    found = {r.column_name: r.pii_category for r in store.read("columns_metadata").collect()}
+    assert found["email"] == "EMAIL" and found["national_id"] == "NATIONAL_ID"
