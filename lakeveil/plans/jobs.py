@@ -65,9 +65,11 @@ def catalogue_namespace(
     namespace: str,
     sample_size: int = profile.DEFAULT_SAMPLE_SIZE,
     reuse_samples: bool = False,
+    strict: bool = False,
 ) -> list[IngestResult]:
     """Register new tables and columns with samples. Running it again adds nothing. With ``reuse_samples`` the samples
-    are kept in the store, so that a scan that reuses them doesn't read the tables again."""
+    are kept in the store, so that a scan that reuses them doesn't read the tables again. With ``strict``, failed
+    tables raise an error after the others are registered."""
 
     def register(names: list[str]) -> None:
         tables = {t: catalog.load_table(spark, namespace, t) for t in names}
@@ -93,7 +95,10 @@ def catalogue_namespace(
         fresh = catalogue.new_tables(discovered, store.read("tables_metadata"))
         store.append_new("tables_metadata", fresh.select("*", now.alias("created_at"), now.alias("updated_at")))
 
-    return isolate_failures(register, catalog.table_names(spark, namespace))
+    report = isolate_failures(register, catalog.table_names(spark, namespace))
+    if strict:
+        raise_on_failure(report)
+    return report
 
 
 def refresh_samples(

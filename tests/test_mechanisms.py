@@ -358,3 +358,14 @@ def test_a_scan_after_cataloguing_reads_no_table_again(spark, monkeypatch):
     assert [r.status for r in report] == ["LOADED"]
     found = {r.column_name: r.pii_category for r in store.read("columns_metadata").collect()}
     assert found["email"] == "EMAIL" and found["national_id"] == "NATIONAL_ID"
+
+
+def test_strict_cataloguing_raises_after_the_others_are_registered(spark):
+    store, raw = store_of(spark), namespace_of(spark, "raw")
+    ingest.write_table(people(spark), f"{raw}.people")
+    spark.sql(f"CREATE TABLE {raw}.torn (id INT) USING parquet")
+    with open(f"{versions.location(spark, f'{raw}.torn').removeprefix('file:')}/part-0.parquet", "wb") as file:
+        file.write(b"torn")
+    with pytest.raises(RuntimeError, match="torn"):
+        jobs.catalogue_namespace(spark, store, raw, strict=True)
+    assert [r.table_name for r in store.read("tables_metadata").collect()] == ["people"]
