@@ -63,39 +63,56 @@ def source_plan(
     Sources in code-point order, null last, take the weights in turn. ``share`` times all words are
     dealt by weight; a target stops at ``limit`` times its source, and the excess goes to the others.
     """
+    by_source = [F.col("source").asc_nulls_last()]
     per = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    # One row per source from here on: a window without a key is one task over that small table.
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    per = per.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int")))
+    per = _with_before(_in_runs(per, by_source, "source_run"), by_source, "source_run", place=F.lit(1))
+    turn = (F.col("place") % len(weights) + 1).cast("int")
+    per = per.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn))
     per = per.withColumn("top", F.col("source_size") * F.lit(float(limit)))
-    per = per.withColumn("total", F.sum("source_size").over(everything) * F.lit(float(share)))
+    sums = per.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    total, all_weight = float(share) * (sums["size"] or 0), sums["weight"] or 0.0
     # A level L with sum(min(top, L * weight)) = total: the sources that stop come first by top / weight.
-    by_stop = Window.orderBy(F.col("top") / F.col("weight"), F.col("source").asc_nulls_last())
-    past = by_stop.rowsBetween(Window.unboundedPreceding, -1)
-    rest = by_stop.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (F.col("total") - F.coalesce(F.sum("top").over(past), F.lit(0.0))) / F.sum("weight").over(rest)
-    per = per.withColumn("level", level)
-    fits = F.col("level") * F.col("weight") <= F.col("top")
+    by_stop = [F.col("top") / F.col("weight"), *by_source]
+    stops = _in_runs(per.select("source", "weight", "top"), by_stop, "stop_run")
+    stops = _with_before(stops, by_stop, "stop_run", top_before=F.col("top"), weight_before=F.col("weight"))
+    level = (F.lit(total) - F.col("top_before")) / (F.lit(all_weight) - F.col("weight_before"))
     # Past the right place too much is taken off, so the level there is the highest of those that fit.
-    per = per.withColumn("level", F.max(F.when(fits, F.col("level"))).over(everything))
-    per = per.withColumn("target", F.least(F.col("top"), F.coalesce(F.col("level") * F.col("weight"), F.col("top"))))
+    found = stops.select(F.max(F.when(level * F.col("weight") <= F.col("top"), level))).first()[0]
+    least = F.coalesce(F.lit(found).cast("double") * F.col("weight"), F.col("top"))
+    per = per.withColumn("target", F.least(F.col("top"), least))
     per = per.withColumn("blocks", F.ceil(F.col("source_size") / F.lit(BLOCK_WORDS)).cast("long"))
     draws = F.when(F.col("source_size") > 0, F.round(F.col("target") * F.col("blocks") / F.col("source_size"))).otherwise(0)
     per = per.withColumn("draws", F.least(draws.cast("long"), (F.col("blocks") * F.lit(limit)).cast("long")))
-    order = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    return per.select(
+    all_draws = per.agg(F.sum("draws")).first()[0] or 0
+    return _with_before(per, by_source, "source_run", first_draw=F.col("draws")).select(
         "source",
         "source_size",
         "blocks",
         "target",
         "draws",
-        F.coalesce(F.sum("draws").over(order), F.lit(0)).alias("first_draw"),
-        F.sum("draws").over(everything).alias("all_draws"),
+        "first_draw",
+        F.lit(all_draws).cast("long").alias("all_draws"),
         F.ceil(F.col("n_docs") / F.lit(_DOCS_PER_BUCKET)).cast("long").alias("buckets"),
     )
 
 
+def _in_runs(rows: DataFrame, order: list[Column], run: str) -> DataFrame:
+    """``rows`` stored with ``run``, the number of the range of ``order`` that holds them."""
+    return stored(rows.repartitionByRange(*order).withColumn(run, F.spark_partition_id()), "mix-runs")
+
+
+def _with_before(rows: DataFrame, order: list[Column], run: str, **values: Column) -> DataFrame:
+    """``rows`` with the sums of ``values`` over all rows before them in ``order``, without one window over all:
+    sums within a run, plus those of the runs before. Runs are as many as shuffle partitions at most."""
+    earlier = Window.orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(run).agg(*[F.sum(v).alias(f"run_{n}") for n, v in values.items()])
+    base = [F.coalesce(F.sum(f"run_{n}").over(earlier), F.lit(0)).alias(f"base_{n}") for n in values]
+    within = Window.partitionBy(run).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(F.broadcast(sums.select(run, *base)), run)
+    before = {n: F.col(f"base_{n}") + F.coalesce(F.sum(v).over(within), F.lit(0)) for n, v in values.items()}
+    return rows.withColumns(before).drop(*[f"base_{n}" for n in values])
+
+
 def packed(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """(locator, block_source, block, first_word, n_words): the parts of each document in its source's blocks."""
     plan = plan.select(F.col("source").alias("s"), "buckets")
@@ -162,19 +179,28 @@ def drawn_parts(docs: DataFrame, seed: int = 7, **targets) -> tuple[DataFrame, D
 
 
 def mix(docs: DataFrame, seed: int = 7, **targets) -> DataFrame:
-    """(locator, doc_id, size, source_size, target, taken), one row per row of ``docs``.
+    """(locator, doc_id, size, source_size, target, taken, shard, place), one row per row of ``docs``.
 
-    A null source is a source of its own, last in order. Texts without words, null ones too, have size
-    0 and are never drawn; if no text has words every target is 0. Repeated rows are packed one by one.
+    ``taken`` counts the words of all slots that the document's blocks fill; (shard, place) is the first of these slots,
+    null where it fills none. A null source is a source of its own, last in order. Texts without words, null ones too,
+    have size 0 and are never drawn; if no text has words every target is 0. Repeated rows are packed one by one.
     The order of packing comes from doc_id, text and place in the file, so reruns agree. An empty table
     gives no rows. Other columns are not read.
     """
     rows, plan, parts = drawn_parts(landed(docs), seed, **targets)
-    taken = parts.groupBy(*ROW).agg(F.sum(F.col("n_words") * F.col("times")).alias("taken"))
+    first = F.col("slots")[0]["shard"] * SHARD_BLOCKS + F.col("slots")[0]["place"]
+    taken = parts.groupBy(*ROW).agg(F.sum(F.col("n_words") * F.size("slots")).alias("taken"), F.min(first).alias("slot"))
     plan = plan.select(F.col("source").alias("s"), "source_size", "target")
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("s")))
     return rows.join(taken.hint("merge"), ROW, "left").select(
-        *ROW, "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+        *ROW,
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.floor(F.col("slot") / SHARD_BLOCKS).alias("shard"),
+        (F.col("slot") % SHARD_BLOCKS).alias("place"),
     )
 
 

@@ -155,6 +155,48 @@ def test_mix_is_written_by_shard(spark, docs, tmp_path, monkeypatch):
     assert written == [r.doc_id for r in dealt]
 
 
+def test_mix_names_the_first_slot(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 512)
+    first, words = {}, collections.Counter()
+    for r in mixing.mixed_blocks(docs).collect():
+        for part in r.parts:
+            at = (part.lv_file, part.lv_pos)
+            first[at] = min(first.get(at, (r.shard, r.place)), (r.shard, r.place))
+            words[at] += part.n_words
+    rows = mixing.mix(docs).collect()
+    assert len({r.shard for r in rows}) > 2
+    for r in rows:
+        at = (r.lv_file, r.lv_pos)
+        assert (r.shard, r.place) == first.get(at, (None, None)) and r.taken == words[at]
+
+
+def test_many_sources_in_many_runs(spark):
+    rnd = random.Random(8)
+    sizes = {f"s{i:04d}" if i else None: rnd.choice([0, 1, 5, 70, 900]) for i in range(300)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        plan = mixing.source_plan(spark.createDataFrame(list(sizes.items()), "source string, size bigint")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    expected, rest, left = {}, 1.5 * sum(sizes.values()), set(sizes)
+    while left:
+        share = rest / sum(weight[s] for s in left)
+        over = {s for s in left if share * weight[s] > 2 * sizes[s]}
+        for s in over or left:
+            expected[s] = 2.0 * sizes[s] if over else share * weight[s]
+        rest -= sum(expected[s] for s in over)
+        left = left - over if over else set()
+    assert len(plan) == 300
+    found = {r.source: r for r in plan}
+    draws = 0
+    for s in order:
+        assert found[s].target == pytest.approx(expected[s]) and found[s].first_draw == draws
+        draws += found[s].draws
+    assert {r.all_draws for r in plan} == {draws}
+
+
 # ------------------------------------------------------------- suffix dedup
 
 
