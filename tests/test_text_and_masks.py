@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +37,27 @@ def test_other_types(spark):
     )
 
 
+def test_nested_types_and_bytes(spark):
+    odd = ["plain", "it's", 'say "x"', "it's \"x\"", "a\\b", "tab\tline\nend\r", "\x00\x7f\x9f", "\u00a0\u200b\u2028", "é\U0001f600", ""]
+    moments = [dt.datetime(2024, 1, 2, 3, 4), dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 0, 7)]
+    rows = [
+        (i, word.encode() + bytes([i, 255, 92, 39]), {word: 1.5e7, "k": None}, Row(a=word, b=Row(c=[1, None], d=moments[i % 3])),
+         [Row(n=Decimal("1.50"), m={i: [word]}, t=dt.date(2024, 1, i + 1), z=None)], [[word, None], None, []], {})
+        for i, word in enumerate(odd)
+    ] + [(99, None, None, None, None, None, None), (100, b"", {}, Row(a=None, b=None), [None], [], {1: True})]
+    schema = (
+        "id int, bin binary, map map<string,double>, row struct<a:string,b:struct<c:array<int>,d:timestamp>>,"
+        "list array<struct<n:decimal(5,2),m:map<int,array<string>>,t:date,z:binary>>, deep array<array<string>>, flag map<int,boolean>"
+    )
+    df = spark.createDataFrame(rows, schema)
+    fields = [f for f in df.schema.fields if f.name != "id"]
+    texts = {r.id: r for r in df.select("id", *[as_text(f.name, f.dataType).alias(f.name) for f in fields]).collect()}
+    for row in df.collect():
+        for f in fields:
+            expected = None if row[f.name] is None else str(row[f.name])
+            assert texts[row.id][f.name] == expected, (row.id, f.name)
+
+
 MASKED = [
     # value, default, e-mail, phone, national id
     ("alice@example.com", "a" + "*" * 16, "a***@example.com", "ali************om", "ali**********.com"),
