@@ -58,7 +58,20 @@ WARD_FIRST = ["An", "Bình", "Cẩm", "Đông", "Hòa", "Long", "Minh", "Phú",
 WARD_SECOND = ["Hà", "Khê", "Lộc", "Mỹ", "Ninh", "Phong", "Quang", "Sơn", "Thủy", "Trung", "Yên"]
 
 REGIONS = ["Northern uplands", "Northern plain", "Central coast", "Central uplands", "Southern plain", "Islands"]
-UNITS = ["City", "Province", "Ward", "Commune"]
+# A region is one or several runs of province codes; a run goes from its first code to the next run's.
+REGION_RUNS = {
+    "01": "Northern plain",
+    "04": "Northern uplands",
+    "24": "Northern plain",
+    "38": "Central coast",
+    "52": "Central uplands",
+    "56": "Central coast",
+    "66": "Central uplands",
+    "75": "Southern plain",
+}
+# Kinds of provinces and wards, by the first words of their names.
+UNIT_PREFIXES = {"City": "Thành phố", "Province": "Tỉnh", "Ward": "Phường", "Commune": "Xã"}
+UNITS = list(UNIT_PREFIXES)
 
 SERVICE_TYPES = ["Đăng ký xe", "Cấp hộ chiếu", "Trợ cấp xã hội", "Đăng ký tạm trú"]
 RECORD_STATUSES = ["RECEIVED", "IN_REVIEW", "WAITING_FOR_CITIZEN", "GRANTED", "REFUSED", "WITHDRAWN"]
@@ -138,14 +151,42 @@ STREETS = ["Lê Lợi", "Trần Phú", "Hai Bà Trưng", "Nguyễn Huệ", "Lý
 JOBS = ["Giáo viên", "Kỹ sư", "Bác sĩ", "Kế toán viên", "Công nhân", "Nông dân", "Tài xế", "Thợ điện"]
 
 
+def regions(spark: SparkSession) -> DataFrame:
+    """(region_id, region)"""
+    return codes_frame(spark, REGIONS, "region").withColumnRenamed("id", "region_id")
+
+
+def units(spark: SparkSession) -> DataFrame:
+    """(unit_id, unit)"""
+    return codes_frame(spark, UNITS, "unit").withColumnRenamed("id", "unit_id")
+
+
+def unit_id(name: str) -> int:
+    """The id of the kind of province or ward that bears this name."""
+    return 1 + next(i for i, prefix in enumerate(UNIT_PREFIXES.values()) if name.startswith(f"{prefix} "))
+
+
+def region_id(code: str) -> int:
+    """The id of the region that holds the province of this code."""
+    return 1 + REGIONS.index(REGION_RUNS[max(first for first in REGION_RUNS if first <= code)])
+
+
 def provinces(spark: SparkSession) -> DataFrame:
-    """(code, full_name)"""
-    schema = pa.schema([("code", pa.string()), ("full_name", pa.string())])
-    return literal_frame(spark, {"code": list(PROVINCES), "full_name": list(PROVINCES.values())}, schema)
+    """(code, full_name, region_id, unit_id)"""
+    schema = pa.schema(
+        [("code", pa.string()), ("full_name", pa.string()), ("region_id", pa.int32()), ("unit_id", pa.int32())]
+    )
+    columns = {
+        "code": list(PROVINCES),
+        "full_name": list(PROVINCES.values()),
+        "region_id": [region_id(code) for code in PROVINCES],
+        "unit_id": [unit_id(name) for name in PROVINCES.values()],
+    }
+    return literal_frame(spark, columns, schema)
 
 
 def wards(spark: SparkSession) -> DataFrame:
-    """(code, ward_index, full_name, province_code): names and provinces follow from the index."""
+    """(code, ward_index, full_name, province_code, unit_id): names, provinces and units follow from the index."""
     first = pick(WARD_FIRST, f"id div 2 % {len(WARD_FIRST)}")
     second = pick(WARD_SECOND, f"id div {2 * len(WARD_FIRST)} % {len(WARD_SECOND)}")
     number = f"id div {2 * len(WARD_FIRST) * len(WARD_SECOND)} + 1"
@@ -154,6 +195,20 @@ def wards(spark: SparkSession) -> DataFrame:
         "id as ward_index",
         f"concat({pick(WARD_KINDS, 'id % 2')}, ' ', {first}, ' ', {second}, ' ', {number}) as full_name",
         f"{pick(list(PROVINCES), f'id % {len(PROVINCES)}')} as province_code",
+        f"cast({pick([str(unit_id(f'{kind} ')) for kind in WARD_KINDS], 'id % 2')} as int) as unit_id",
+    )
+
+
+def ward_chain(spark: SparkSession) -> DataFrame:
+    """(ward_index, ward_name, ward_unit, province_code, province_name, province_unit, region): every ward with all above it."""
+    u = units(spark)
+    ward_units = u.select(F.col("unit_id"), F.col("unit").alias("ward_unit"))
+    above = provinces(spark).select(F.col("code").alias("province_code"), F.col("full_name").alias("province_name"), "region_id", "unit_id")
+    above = above.join(F.broadcast(u.withColumnRenamed("unit", "province_unit")), "unit_id").drop("unit_id")
+    above = above.join(F.broadcast(regions(spark)), "region_id").drop("region_id")
+    below = wards(spark).withColumnRenamed("full_name", "ward_name").join(F.broadcast(ward_units), "unit_id")
+    return below.join(F.broadcast(above), "province_code").select(
+        "ward_index", "ward_name", "ward_unit", "province_code", "province_name", "province_unit", "region"
     )
 
 

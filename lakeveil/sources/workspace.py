@@ -5,10 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_made: ContextVar[list[str] | None] = ContextVar("lakeveil_made", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,7 +31,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path of its own below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Folders that ``new_folder`` and ``stored`` make inside are removed at the end, also after an error. What shall
+    outlast the block is written to a folder made before it; frames that read the removed ones must not be used on."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in made:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -41,6 +65,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: it is computed once,
     survives lost executors, and later plans know its size."""
-    path = new_folder(df.sparkSession, label)
+    return stored_at(df, new_folder(df.sparkSession, label), **options)
+
+
+def stored_at(df: DataFrame, path: str, **options: str) -> DataFrame:
+    """``df`` written as Parquet to ``path`` and read back."""
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

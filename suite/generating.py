@@ -293,6 +293,35 @@ def join_address_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The first province code of each run of a region, as an independent list.
+_REGION_OF = (
+    "case when c < '04' then 'Northern plain' when c < '24' then 'Northern uplands' when c < '38' then 'Northern plain'"
+    " when c < '52' then 'Central coast' when c < '56' then 'Central uplands' when c < '66' then 'Central coast'"
+    " when c < '75' then 'Central uplands' else 'Southern plain' end"
+)
+
+
+@query(f"""with placed as (select c_custkey % 3321 as w, {_list(list(dim.PROVINCES))}[w % 34 + 1] as c,
+  if({_PROVINCE_NAME} like 'Thành phố %', 'City', 'Province') as province_unit, if(w % 2 = 0, 'Ward', 'Commune') as ward_unit
+  from customer),
+regions(region) as (values {', '.join(f"('{r}')" for r in dim.REGIONS)}),
+chained as (select regions.region, p.w, p.province_unit, p.ward_unit
+  from regions left join (select *, {_REGION_OF} as region from placed) p using (region))
+select region, province_unit, ward_unit, grouping(region, province_unit, ward_unit) as level, count(w) as customers
+from chained group by rollup (region, province_unit, ward_unit)""")
+def dimension_roll_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by region, kind of province and kind of ward; regions without wards have a row too."""
+    placed = ids(spark, sf_dir, "customer").selectExpr(f"c_custkey % {dim.WARD_COUNT} as ward_index")
+    # Counted per ward before the regions join, so that the roll-up works on 3,321 rows at most.
+    per_ward = placed.groupBy("ward_index").agg(F.count(F.lit(1)).alias("n"))
+    chained = F.broadcast(dim.ward_chain(spark)).join(per_ward, "ward_index")
+    every = dim.regions(spark).select("region").join(chained, "region", "left")
+    rolled = every.rollup("region", "province_unit", "ward_unit")
+    return rolled.agg(
+        F.grouping_id().cast("long").alias("level"), F.coalesce(F.sum("n"), F.lit(0)).alias("customers")
+    )
+
+
 @query(f"{RECORD_SQL} select service_type, status, count(*) as records from records group by all")
 def join_note_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per service and status of the note pool."""

@@ -80,6 +80,29 @@ def sample_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", *[as_text(n, types[n]).alias(alias) for n, alias in names.items()])
 
 
+_MOMENT = (
+    "'datetime.datetime(' || concat_ws(', ', year(o_orderdate), month(o_orderdate), day(o_orderdate), hour(o_orderdate),"
+    " minute(o_orderdate)) || case when microsecond(o_orderdate) % 1000000 > 0 then ', ' || second(o_orderdate) || ', ' ||"
+    " microsecond(o_orderdate) % 1000000 when second(o_orderdate) > 0 then ', ' || second(o_orderdate) else '' end || ')'"
+)
+
+
+@query(f"""select o_orderkey, 'Row(key=' || o_orderkey || ', placed=' || {_MOMENT} || ', price=' ||
+  {text_sql('o_totalprice', 'double')} || ')' as row_text, '{{''' || o_orderpriority || ''': [' || o_custkey || ', None]}}' as map_text,
+  'b"' || o_orderstatus || '''' || o_orderpriority || '\\xc3\\xa9"' as binary_text, '[Row(open=' ||
+  case when o_orderstatus = 'O' then 'True' else 'False' end || ', note=None), None]' as list_text from orders""")
+def sample_nested_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, dicts, bytes and lists made of the orders' columns, as Python prints them."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "named_struct('key', o_orderkey, 'placed', o_orderdate, 'price', o_totalprice) as row_text",
+        "map(o_orderpriority, array(o_custkey, null)) as map_text",
+        "encode(concat(o_orderstatus, char(39), o_orderpriority, char(233)), 'UTF-8') as binary_text",
+        "array(named_struct('open', o_orderstatus = 'O', 'note', cast(null as string)), null) as list_text",
+    )
+    return orders.select("o_orderkey", *[as_text(f.name, f.dataType).alias(f.name) for f in orders.schema.fields[1:]])
+
+
 @query(f"with {samples_cte(['part', 'customer'])} select table_name, column_name,"
        " to_json(list(sample_value order by sample_rank))::varchar as sample_values"
        " from samples where sample_rank <= 10 group by all")

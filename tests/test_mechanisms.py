@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from lakeveil.functions import masks
 from lakeveil.operators import profile
 from lakeveil.plans import jobs, seeds
-from lakeveil.sources import catalog, ingest, versions
+from lakeveil.sources import catalog, dimensions, ingest, versions, workspace
 from lakeveil.sources.store import MetadataStore, merged_state
 from lakeveil.sources.workspace import new_folder
 
@@ -369,3 +369,31 @@ def test_strict_cataloguing_raises_after_the_others_are_registered(spark):
     with pytest.raises(RuntimeError, match="torn"):
         jobs.catalogue_namespace(spark, store, raw, strict=True)
     assert [r.table_name for r in store.read("tables_metadata").collect()] == ["people"]
+
+
+def test_intermediates_are_removed(spark):
+    outer = workspace.stored(spark.range(3), "kept")
+    target = workspace.new_folder(spark, "result")
+    with workspace.intermediates(spark):
+        inner = workspace.stored(spark.range(4), "inner")
+        [file] = {f.rsplit("/", 1)[0] for f in inner.inputFiles()}
+        result = workspace.stored_at(inner.where("id > 1"), target)
+    assert outer.count() == 3 and result.count() == 2
+    assert not os.path.exists(file.removeprefix("file://"))
+    with pytest.raises(ValueError), workspace.intermediates(spark):
+        path = workspace.new_folder(spark, "failed")
+        spark.range(1).write.parquet(path)
+        raise ValueError
+    assert not os.path.exists(path)
+
+
+def test_every_ward_has_one_chain(spark):
+    rows = dimensions.ward_chain(spark).collect()
+    assert sorted(r.ward_index for r in rows) == list(range(dimensions.WARD_COUNT))
+    for r in rows:
+        assert r.province_name == dimensions.PROVINCES[r.province_code]
+        assert r.province_name.startswith(dimensions.UNIT_PREFIXES[r.province_unit] + " ")
+        assert r.ward_name.startswith(dimensions.UNIT_PREFIXES[r.ward_unit] + " ")
+    regions = {r.province_code: r.region for r in rows}
+    assert regions["01"] == "Northern plain" and regions["22"] == "Northern uplands" and regions["56"] == "Central coast"
+    assert regions["96"] == "Southern plain" and set(regions.values()) <= set(dimensions.REGIONS)
