@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeveil.llm import exact_dedup, mixing, near_dup, pieces, quality
 from lakeveil.llm.common import documents
 from lakeveil.llm.parameters import labels, tokenizer_model
-from lakeveil.sources.workspace import stored
+from lakeveil.sources.workspace import intermediates, new_folder, stored_at
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. Every stage's result stays in the shared folder, what it stored on its way does not.
+
+    Repeated rows are copies that exact dedup removes; an empty table goes through all stages and gives no rows.
+    """
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        target = new_folder(spark, name.replace(" ", "-"))
+        with intermediates(spark):
+            docs = stored_at(stage(spark, docs, sf_dir), target)
     return docs

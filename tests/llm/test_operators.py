@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from lakeveil.llm import (
     toxicity,
 )
 from lakeveil.llm.parameters import labels, tokenizer_model
+from lakeveil.sources import workspace
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, kept boolean,"
@@ -176,3 +179,16 @@ def test_whole_texts_stay_in_the_mix(odd):
     taken = mixing.mix(odd).agg(F.sum("taken")).first()[0]
     assert sum(len(r.text.split()) for r in mixed) == taken
     assert labels  # the reader of the labels table is part of the interface
+
+
+def test_pipeline_of_an_empty_table(spark, small, tmp_path):
+    import corpus_pipeline
+
+    spark.read.parquet(f"{small}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{small}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    folder = workspace.shared_folder(spark)
+    before = set(os.listdir(folder))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    # One folder a stage is left.
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert left == {name.replace(" ", "-") for name, _ in corpus_pipeline.STAGES}
