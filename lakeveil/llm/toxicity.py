@@ -1,27 +1,34 @@
 """Toxicity scores: gradient-boosted trees over dense features of a text, calibrated by isotonic regression.
 
 The lexicon is learned from all labelled training documents: words whose share of toxic documents is far above the
-average. Words are folded first (case, look-alike digits and signs, stretched letters), so obfuscated
-spellings count as the word and raise the obfuscation rate. The trees are fitted on a bounded sample of labelled rows;
-the calibration on rows of it that the trees have not seen.
+average, by more than chance among so many words explains. It has no greatest size. Words are folded first (case,
+look-alike digits and signs, stretched letters), so obfuscated spellings count as the word and raise the obfuscation rate.
+The trees are fitted on a bounded sample of labelled rows; the calibration on rows of it that the trees have not seen.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeveil.llm.common import ROW, located, sampled, text_of, texts
+from lakeveil.llm.common import FILE, POS, ROW, landed, located, sampled, text_of, texts
 from lakeveil.sources.workspace import stored
 
 MAX_TRAINING_DOCS = 20_000
-LEXICON_WORDS = 400
+# An entry is in at least so many toxic documents, and so much likelier there (log-odds).
+MIN_DOCUMENTS = 3
+MIN_ODDS = 2.0
+# Up to so many entries the lexicon is sent to the tasks; a larger one is joined with the documents' words.
+BROADCAST_ENTRIES = 200_000
+_ROWS = 256
 THRESHOLD = 0.7
 _NEAR = 6
 _STEMS = (3, 4, 5, 6)
@@ -206,9 +213,51 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(xs), np.maximum.accumulate(np.array(ys))
 
 
+@dataclass
+class Lexicon:
+    """The entries and their odds: a stored table, and what is sent to the tasks if that is small."""
+
+    table: DataFrame | None
+    sent: Broadcast | None
+
+    def beside(self, docs: DataFrame, *columns: Column | str) -> DataFrame:
+        """``columns`` of ``docs`` (as ``landed`` returned them) and, if the lexicon is joined, ``hits``: those of its entries
+        that a row's words match."""
+        if self.sent is not None or self.table is None:
+            return located(docs, *columns)
+        words = located(docs, "text").mapInArrow(_row_entries, f"{FILE} bigint, {POS} bigint, word string")
+        met = words.join(self.table.hint("merge"), "word")
+        hits = met.groupBy(*ROW).agg(F.map_from_entries(F.collect_list(F.struct("word", "odds"))).alias("hits"))
+        return located(docs, *columns).join(hits.hint("merge"), ROW, "left")
+
+
+def _row_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(locator, entry) for every entry that a row's words may match, once a row."""
+    fold = Folder()
+    for whole in batches:
+        for start in range(0, whole.num_rows, _ROWS):
+            batch = whole.slice(start, _ROWS)
+            found = [sorted({e for f in fold(t.split()) for e in entries(f[0])}) for t in texts(batch)]
+            times = np.repeat(np.arange(len(found)), list(map(len, found)))
+            columns = [batch.column(c).take(pa.array(times)) for c in ROW]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([e for f in found for e in f], pa.string())], [*ROW, "word"])
+
+
+def _vectors(batches: Iterator[pa.RecordBatch], sent: Broadcast | None) -> Iterator[tuple[pa.RecordBatch, list[list[float]]]]:
+    """Parts of the batches that ``Lexicon.beside`` gives, and the features of their rows."""
+    fold = Folder(sent.value if sent is not None else None)
+    for whole in batches:
+        for start in range(0, whole.num_rows, _ROWS):
+            batch = whole.slice(start, _ROWS)
+            folds = [fold] * batch.num_rows
+            if "hits" in batch.schema.names:
+                folds = [Folder(dict(h)) if h else fold for h in batch.column("hits").to_pylist()]
+            yield batch, [features(t, f) for t, f in zip(texts(batch), folds)]
+
+
 @dataclass
 class Model:
-    lexicon: dict[str, float]
+    lexicon: Lexicon | None
     trees: Trees | None
     points: np.ndarray
     levels: np.ndarray
@@ -222,7 +271,7 @@ class Model:
         return np.clip(np.interp(raw, self.points, self.levels) * (1 - 1e-4) + fine, 0.0, 1.0)
 
 
-def fit(x: np.ndarray, y: np.ndarray, lexicon: dict[str, float]) -> Model:
+def fit(x: np.ndarray, y: np.ndarray, lexicon: Lexicon) -> Model:
     """Trees from four rows of five, the calibration from the fifth and then the final trees from all."""
     none = np.zeros(1)
     if len(y) == 0 or y.min() == y.max():
@@ -252,21 +301,24 @@ def _labelled(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
     return stored(rows.join(known.hint("merge"), "doc_id"), "labelled")
 
 
-def learn_lexicon(labelled: DataFrame, size: int = LEXICON_WORDS) -> dict[str, float]:
+def learn_lexicon(labelled: DataFrame, broadcast_entries: int = BROADCAST_ENTRIES) -> Lexicon:
     """Folded words by how much likelier a document with them is to be toxic, from all labelled documents.
 
-    A word counts once a document; documents and words are counted by Spark, and at most ``size`` words come back.
+    A word counts once a document. It is an entry if it is likelier in toxic documents by more than ``MIN_ODDS``, and if its log-likelihood
+    ratio exceeds what the luckiest of all words tried reaches by chance; that bound grows with the logarithm of their number only.
     """
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold = Folder()
-        for batch in batches:
+        for whole in batches:
             counts: dict[str, list[int]] = {}
-            for text, toxic in zip(texts(batch), batch.column("toxic").to_pylist()):
-                plain = {f[0] for f in fold(text.split()) if 2 < len(f[0]) <= 40}
-                for word in {e for p in plain for e in entries(p)}:
-                    both = counts.setdefault(word, [0, 0])
-                    both[toxic > 0] += 1
+            for start in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(start, _ROWS)
+                for text, toxic in zip(texts(batch), batch.column("toxic").to_pylist()):
+                    plain = {f[0] for f in fold(text.split()) if 2 < len(f[0]) <= 40}
+                    for word in {e for p in plain for e in entries(p)}:
+                        both = counts.setdefault(word, [0, 0])
+                        both[toxic > 0] += 1
             words = list(counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.string())] + [pa.array([counts[w][k] for w in words], pa.int64()) for k in (0, 1)],
@@ -276,26 +328,38 @@ def learn_lexicon(labelled: DataFrame, size: int = LEXICON_WORDS) -> dict[str, f
     totals = labelled.agg(F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("bad"), F.count(F.lit(1)).alias("n")).first()
     bad, n = totals["bad"] or 0, totals["n"]
     if bad == 0 or bad == n:
-        return {}
+        return Lexicon(None, None)
     rows = labelled.select("text", "toxic").mapInArrow(distinct_words, "word string, clean bigint, bad bigint")
     counts = rows.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
+    tried = stored(counts.where(F.col("bad") >= MIN_DOCUMENTS), "word-odds")
+    number = max(1, tried.count())
     odds = F.log((F.col("bad") + F.lit(0.5)) / bad) - F.log((F.col("clean") + F.lit(0.5)) / (n - bad))
-    # At least three toxic documents and a hundredth of them: a rare word is chance.
-    often = F.col("bad") >= max(3.0, 0.01 * bad)
-    best = counts.where(often).withColumn("odds", odds).where("odds > 2").orderBy(F.desc("odds"), "word").limit(size)
-    return {r["word"]: float(r["odds"]) for r in best.collect()}
+    both, share = F.col("bad") + F.col("clean"), bad / n
+    ratio = F.col("bad") * F.log(F.col("bad") / (both * F.lit(share)))
+    ratio += F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (both * F.lit(1 - share)))).otherwise(0.0)
+    # Twice the ratio falls off like a chi-square of one degree, so among so many words chance exceeds this about once.
+    found = tried.where((ratio > math.log(number)) & (odds > MIN_ODDS)).select("word", odds.alias("odds"))
+    table = stored(found, "lexicon")
+    if table.count() > broadcast_entries:
+        return Lexicon(table, None)
+    return Lexicon(table, labelled.sparkSession.sparkContext.broadcast({r["word"]: r["odds"] for r in table.collect()}))
 
 
-def _sample(labelled: DataFrame, lexicon: dict[str, float], max_docs: int) -> tuple[np.ndarray, np.ndarray]:
+def _sample(labelled: DataFrame, lexicon: Lexicon, max_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    sent = lexicon.sent
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fold = Folder(lexicon)
-        for batch in batches:
-            found = [features(t, fold) for t in texts(batch)]
+        for batch, found in _vectors(batches, sent):
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.float64()))], ["toxic", "x"])
 
     known = labelled.select("doc_id", "toxic").distinct()
     # At most max_docs locators are sent out, and as many short rows come back.
-    rows = located(labelled, "text").join(F.broadcast(sampled(labelled, known, max_docs)), ROW).select("toxic", "text")
+    chosen = located(labelled, "text").join(F.broadcast(sampled(labelled, known, max_docs)), ROW)
+    if sent is None:
+        chosen = stored(chosen.select("toxic", "text"), "sample")
+        rows = lexicon.beside(chosen, "toxic", "text")
+    else:
+        rows = chosen.select("toxic", "text")
     kind = rows.schema["toxic"].dataType.simpleString()
     found = rows.mapInArrow(run, f"toxic {kind}, x array<double>").collect()
     rows = sorted((tuple(r.x), int(r.toxic > 0)) for r in found)  # whatever order they came in
@@ -304,35 +368,38 @@ def _sample(labelled: DataFrame, lexicon: dict[str, float], max_docs: int) -> tu
     return x, np.array([r[1] for r in rows], float)[order]
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: Column, max_docs: int = MAX_TRAINING_DOCS) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, rows: Column, max_docs: int = MAX_TRAINING_DOCS, broadcast_entries: int = BROADCAST_ENTRIES
+) -> Model:
     """A model from the labelled ``docs`` for which ``rows`` holds; the trees see the at most ``max_docs`` with the smallest hashed ids and texts."""
     labelled = _labelled(docs, labels, rows)
-    lexicon = learn_lexicon(labelled)
+    lexicon = learn_lexicon(labelled, broadcast_entries)
     return fit(*_sample(labelled, lexicon, max_docs), lexicon)
 
 
-def scored(docs: DataFrame, labels: DataFrame, divisor: int = 3, held_out: int = 1) -> DataFrame:
+def scored(
+    docs: DataFrame, labels: DataFrame, divisor: int = 3, held_out: int = 1, broadcast_entries: int = BROADCAST_ENTRIES
+) -> DataFrame:
     """(locator, doc_id, held_out, score, predicted), one row per row of ``docs``.
 
     A row is held out if crc32 of its doc_id's text mod ``divisor`` is ``held_out``; such rows teach nothing. Null texts
     count as empty, and empty texts have a score like others. Only the text enters a score. Repeated rows get equal scores. With
-    no labels, or of one kind only, the score is their rate. An empty table gives no rows.
+    no labels, or of one kind only, the score is their rate. An empty table gives no rows. A lexicon of more than
+    ``broadcast_entries`` entries is joined with the documents' words; the scores are the same.
     """
+    docs = landed(docs)
     out = remainder(F.col("doc_id"), divisor) == held_out
-    model = train(docs, labels, ~out)
+    model = train(docs, labels, ~out, broadcast_entries=broadcast_entries)
+    rows = model.lexicon.beside(docs, "doc_id", out.alias("held_out"), "text")
+    sent, model = model.lexicon.sent, replace(model, lexicon=None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fold = Folder(model.lexicon)
-        for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                batch = whole.slice(start, 256)
-                x = np.array([features(t, fold) for t in texts(batch)])
-                score = model.scores(x)
-                columns = [batch.column(c) for c in range(4)]
-                columns += [pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:4], "score", "predicted"])
-
-    rows = located(docs, "doc_id", out.alias("held_out"), "text")
+        for batch, found in _vectors(batches, sent):
+            score = model.scores(np.array(found))
+            columns = [batch.column(c) for c in range(4)]
+            columns += [pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:4], "score", "predicted"])
+
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         run, f"lv_file bigint, lv_pos bigint, doc_id {kind}, held_out boolean, score double, predicted int"

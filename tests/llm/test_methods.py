@@ -450,10 +450,99 @@ def test_toxic_rows_are_found(spark):
     rows = toxicity.scored(documents(spark, where), labels(spark, where)).where("held_out")
     both = rows.join(labels(spark, where), "doc_id").select("predicted", "toxic").collect()
     caught = sum(r.predicted and r.toxic for r in both)
-    assert caught >= 0.85 * sum(r.toxic for r in both)
+    assert caught >= 0.9 * sum(r.toxic for r in both)
     assert sum(r.predicted and not r.toxic for r in both) <= 0.02 * len(both)
 
 
+def test_lexicon_has_no_greatest_size_and_may_be_joined(spark):
+    # 500 words of their own for the toxic documents, each in 6 of 3,000 of them: a fifth of a per cent.
+    own = ["".join(p) for p in itertools.permutations("bcdfghklmnpr", 3)][:500]
+    toxic = [(i, f"plain words {own[i % 500]}", 1) for i in range(3000)]
+    clean = [(i, f"plain words {'xyzw'[i % 4] * 2}ab here", 0) for i in range(3000, 12000)]
+    docs = spark.createDataFrame([r[:2] for r in toxic + clean] + [(20000, None), (20001, ""), (20001, "bcd " * 9)], "doc_id long, text string")
+    marks = spark.createDataFrame([(r[0], r[2]) for r in toxic + clean], "doc_id long, toxic int")
+    lexicon = toxicity.learn_lexicon(toxicity._labelled(docs, marks, F.lit(True)))
+    found = {r.word for r in lexicon.table.collect()}
+    assert lexicon.sent is not None and set(own) <= found
+    assert "plain" not in found and "here" not in found
+    sent, joined = (
+        sorted((r.lv_pos, r.doc_id, r.score) for r in toxicity.scored(docs, marks, broadcast_entries=k).collect()) for k in (100_000, 0)
+    )
+    assert sent == joined and len(sent) == 12003
+    assert min(s for _, i, s in sent if i < 3000) > 0.7 > 0.3 > max(s for _, i, s in sent if 3000 <= i < 12000)
+
+
+def test_words_that_are_toxic_by_chance_are_no_entries(spark):
+    rnd = random.Random(4)
+    rows = [(i, " ".join(f"w{rnd.randrange(3000)}q" for _ in range(30)), int(i % 10 == 0)) for i in range(2000)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert toxicity.learn_lexicon(labelled).table.count() <= 2
+
+
+def test_trees_equal_a_plain_search():
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 12, (400, 3)).astype(float)
+    y = (x[:, 0] + x[:, 1] > 12).astype(float)
+    ours = toxicity.grow(x, y, trees=4, depth=2, rate=0.5, ridge=1.0)
+    score = np.full(len(y), math.log(y.mean() / (1 - y.mean())))
+
+    def best(rows, g, h):
+        def value(part):
+            return g[part].sum() ** 2 / (h[part].sum() + 1.0)
+
+        tried = [(0.0, 0, math.inf)]
+        for f in range(3):
+            for cut in sorted(set(x[rows, f]))[:-1]:
+                low = rows[x[rows, f] <= cut]
+                high = rows[x[rows, f] > cut]
+                tried.append((value(low) + value(high) - value(rows), f, cut))
+        return max(t[0] for t in tried), tried
+
+    def split(rows, feature, cut):
+        return rows[x[rows, feature] <= cut], rows[x[rows, feature] > cut]
+
+    for feature, cut, leaf in zip(ours.feature, ours.cut, ours.leaf):
+        p = 1 / (1 + np.exp(-score))
+        g, h = y - p, p * (1 - p)
+        level = [np.arange(len(y))]
+        node = 0
+        for _ in range(2):
+            following = []
+            for rows in level:
+                top, tried = best(rows, g, h)
+                taken = split(rows, feature[node], cut[node])
+                gain = sum(g[r].sum() ** 2 / (h[r].sum() + 1.0) for r in taken) - g[rows].sum() ** 2 / (h[rows].sum() + 1.0)
+                assert gain == pytest.approx(top, abs=1e-6)
+                following += taken
+                node += 1
+            level = following
+        for rows, value in zip(level, leaf):
+            assert value == pytest.approx(0.5 * g[rows].sum() / (h[rows].sum() + 1.0))
+            score[rows] += value
+    assert ours.raw(x) == pytest.approx(score)
+
+
+def test_isotonic_equals_the_minimax_formula():
+    rng = np.random.default_rng(3)
+    score = rng.integers(0, 30, 200).astype(float)
+    y = (rng.random(200) < score / 30).astype(float)
+    points, levels = toxicity.isotonic(score, y)
+    values = sorted(set(score))
+    least = 0.0
+    for v in values:
+        def share(low, high):
+            inside = (score >= low) & (score <= high)
+            return y[inside].mean()
+
+        # The best rising fit at v; its pool is the widest run with that mean.
+        fit = max(min(share(a, b) for b in values if b >= v) for a in values if a <= v)
+        pool = [w for w in values if max(min(share(a, b) for b in values if b >= w) for a in values if a <= w) == pytest.approx(fit)]
+        inside = (score >= pool[0]) & (score <= pool[-1])
+        # Half a row of either class may turn two pools round; the later then has the level of the earlier.
+        least = max(least, (y[inside].sum() + 0.5) / (inside.sum() + 1))
+        assert np.interp(v, points, levels) == pytest.approx(least)
+
+
 def test_isotonic_rises():
     rng = np.random.default_rng(2)
     score = rng.normal(size=500).round(1)
