@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -39,7 +40,15 @@ _SECOND = frozenset(
     " tú ti usted ustedes vosotros tuyo tuya su".split()
 )
 _EDGE = re.compile(r"^[^\w@$!|+*]+|[^\w@$+*]+$")
-_PUNCTUATION = re.compile(r"[.,;:!?…\"'()\[\]{}*#%&|<>_~^=+-]")
+_MARKS = re.compile(r"[*._\-]+")
+_STRETCHED = re.compile(r"(.)\1{2,}")
+# What is known of a word, as bits.
+_TO_SECOND, _OBSCURED, _UPPER, _HIT, _SIZED = 1, 2, 4, 8, 16
+_REMEMBERED = 300_000
+# By code point: 1 a capital, 2 punctuation; the last stands for all later ones.
+_SIGN = np.zeros(0x2028, np.uint8)
+_SIGN[[*range(0x41, 0x5B), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]] = 1
+_SIGN[[ord(c) for c in ".,;:!?…\"'()[]{}*#%&|<>_~^=+-"]] = 2
 FEATURES = (
     "lexicon words per 100",
     "lexicon words, up to 20",
@@ -61,10 +70,12 @@ FEATURES = (
 
 def folded(word: str) -> tuple[str, bool]:
     """(plain form, whether it took more than lower case and trimming) of a word."""
-    lower = _EDGE.sub("", word.lower())
-    plain = lower.translate(_LOOKALIKES) if any(c.isalpha() for c in lower) else lower
-    plain = re.sub(r"[*._\-]+", "", plain)
-    plain = re.sub(r"(.)\1{2,}", r"\1", plain)
+    lower = plain = word.lower()
+    if not lower.isalpha():
+        lower = _EDGE.sub("", lower)
+        plain = lower.translate(_LOOKALIKES) if any(map(str.isalpha, lower)) else lower
+        plain = _MARKS.sub("", plain)
+    plain = _STRETCHED.sub(r"\1", plain)
     return plain, plain != lower
 
 
@@ -73,26 +84,65 @@ def entries(plain: str) -> list[str]:
     return [plain] + [plain[:k] + "~" for k in _STEMS if len(plain) > k]
 
 
-class Folder:
-    """(plain form, whether it was obscured, strength in the lexicon) of words, remembering those seen: words recur."""
+class Folder(dict):
+    """The numbers of words, as first met, and what is known of each: words recur, so each is folded once."""
 
     def __init__(self, lexicon: dict[str, float] | None = None) -> None:
+        super().__init__()
         self._lexicon = lexicon or {}
-        self._seen: dict[str, tuple[str, bool, float]] = {}
-
-    def __call__(self, words: list[str]) -> list[tuple[str, bool, float]]:
-        seen = self._seen
-        if len(seen) > 300_000:
-            seen.clear()
-        out = []
-        for w in words:
-            found = seen.get(w)
-            if found is None:
-                plain, obscured = folded(w)
-                strength = max((self._lexicon.get(e, 0.0) for e in entries(plain)), default=0.0)
-                found = seen[w] = (plain, obscured, strength)
-            out.append(found)
-        return out
+        self._empty()
+
+    def _empty(self) -> None:
+        self.clear()
+        self.entries: list[list[str]] = []
+        self.flags, self.strength, self.plain = np.zeros(64, np.uint8), np.zeros(64), np.zeros(64, np.int64)
+        self._plains: dict[str, int] = {}
+        self._new: list[tuple[int, float, int]] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        plain, obscured = folded(word)
+        found = entries(plain)
+        strength, known = 0.0, self._lexicon
+        if known:
+            for e in found:
+                if e in known and known[e] > strength:
+                    strength = known[e]
+        flags = _OBSCURED if obscured else 0
+        if plain in _SECOND:
+            flags |= _TO_SECOND
+        if len(word) > 1 and word.isupper():
+            flags |= _UPPER
+        if strength:
+            flags |= _HIT
+        if 2 < len(plain) <= 40:
+            flags |= _SIZED
+        self._new.append((flags, strength, self._plains.setdefault(plain, len(self._plains))))
+        self.entries.append(found)
+        return number
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        """The numbers of the words, good until the next call."""
+        if len(self) > _REMEMBERED:
+            self._empty()
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self._new:
+            while len(self.flags) < len(self):
+                self.flags, self.strength, self.plain = (np.concatenate([c, c]) for c in (self.flags, self.strength, self.plain))
+            low = len(self) - len(self._new)
+            for column, values in zip((self.flags, self.strength, self.plain), zip(*self._new)):
+                column[low : len(self)] = values
+            self._new = []
+        return numbers
+
+
+def signs(text: str) -> tuple[int, int]:
+    """How many capitals and how many punctuation marks a text has."""
+    found = np.zeros(3, np.int64)
+    for start in range(0, len(text), 1 << 16):
+        codes = np.frombuffer(text[start : start + (1 << 16)].encode("utf-32-le", "surrogatepass"), "<u4")
+        found += np.bincount(_SIGN[np.minimum(codes, len(_SIGN) - 1)], minlength=3)
+    return int(found[1]), int(found[2])
 
 
 def features(text: str, fold: Folder) -> list[float]:
@@ -100,31 +150,27 @@ def features(text: str, fold: Folder) -> list[float]:
     n = len(words)
     if n == 0:
         return [0.0] * len(FEATURES)
-    forms = fold(words)
-    hits = [i for i, f in enumerate(forms) if f[2]]
-    strengths = [forms[i][2] for i in hits]
-    second = [i for i, f in enumerate(forms) if f[0] in _SECOND]
-    marks = set(second)
-    near = sum(any(j in marks for j in range(i - _NEAR, i + _NEAR + 1)) for i in hits) if marks else 0
+    numbers = fold(words)
+    flags = fold.flags[numbers]
+    hits, second = np.flatnonzero(flags & _HIT), np.flatnonzero(flags & _TO_SECOND)
+    strengths = fold.strength[numbers[hits]].tolist()
+    near = np.searchsorted(second, hits + _NEAR, "right") > np.searchsorted(second, hits - _NEAR)
     letters = len(text) - text.count(" ")
-    capitals = len(re.findall("[A-ZÀ-ÖØ-Þ]", text))
-    caps_words = sum(w.isupper() and len(w) > 1 for w in words)
-    hidden = sum(forms[i][1] for i in hits)
-    obscured = sum(f[1] for f in forms)
+    capitals, punctuation = signs(text)
     return [
         100.0 * len(hits) / n,
         float(min(len(hits), 20)),
-        float(len({forms[i][0] for i in hits})),
+        float(len(set(fold.plain[numbers[hits]].tolist()))),
         max(strengths, default=0.0),
         sum(strengths) / len(strengths) if strengths else 0.0,
-        100.0 * near / n,
+        100.0 * int(near.sum()) / n,
         100.0 * len(second) / n,
         capitals / max(1, letters),
-        100.0 * caps_words / n,
-        len(_PUNCTUATION.findall(text)) / max(1, letters),
+        100.0 * np.count_nonzero(flags & _UPPER) / n,
+        punctuation / max(1, letters),
         text.count("!") / max(1, letters),
-        100.0 * hidden / n,
-        100.0 * obscured / n,
+        100.0 * np.count_nonzero(flags[hits] & _OBSCURED) / n,
+        100.0 * np.count_nonzero(flags & _OBSCURED) / n,
         float(np.log1p(n)),
         letters / n,
     ]
@@ -231,13 +277,21 @@ class Lexicon:
         return located(docs, *columns).join(hits.hint("merge"), ROW, "left")
 
 
+def fold_entries(fold: Folder, words: list[str], flag: int = 0) -> set[str]:
+    """All that the words may match in the lexicon; with a ``flag`` only words that have it."""
+    numbers = np.unique(fold(words))
+    if flag:
+        numbers = numbers[fold.flags[numbers] & flag > 0]
+    return set().union(*[fold.entries[i] for i in numbers.tolist()])
+
+
 def _row_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(locator, entry) for every entry that a row's words may match, once a row."""
     fold = Folder()
     for whole in batches:
         for start in range(0, whole.num_rows, _ROWS):
             batch = whole.slice(start, _ROWS)
-            found = [sorted({e for f in fold(t.split()) for e in entries(f[0])}) for t in texts(batch)]
+            found = [sorted(fold_entries(fold, t.split())) for t in texts(batch)]
             times = np.repeat(np.arange(len(found)), list(map(len, found)))
             columns = [batch.column(c).take(pa.array(times)) for c in ROW]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([e for f in found for e in f], pa.string())], [*ROW, "word"])
@@ -311,17 +365,14 @@ def learn_lexicon(labelled: DataFrame, broadcast_entries: int = BROADCAST_ENTRIE
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold = Folder()
         for whole in batches:
-            counts: dict[str, list[int]] = {}
+            counts = Counter(), Counter()
             for start in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(start, _ROWS)
                 for text, toxic in zip(texts(batch), batch.column("toxic").to_pylist()):
-                    plain = {f[0] for f in fold(text.split()) if 2 < len(f[0]) <= 40}
-                    for word in {e for p in plain for e in entries(p)}:
-                        both = counts.setdefault(word, [0, 0])
-                        both[toxic > 0] += 1
-            words = list(counts)
+                    counts[toxic > 0].update(fold_entries(fold, text.split(), _SIZED))
+            words = list(counts[0] | counts[1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string())] + [pa.array([counts[w][k] for w in words], pa.int64()) for k in (0, 1)],
+                [pa.array(words, pa.string()), *[pa.array([c[w] for w in words], pa.int64()) for c in counts]],
                 ["word", "clean", "bad"],
             )
 
