@@ -591,6 +591,26 @@ def test_spelling_is_a_distribution():
     assert seen > unseen + 2
 
 
+def test_the_mixer_learns_from_every_training_word(spark):
+    words = [b"%x" % (n * n) for n in range(600)] + [b"z" * 5000]
+    slots, bits, _, _ = mixing_lm.bit_slots(words)
+    size = mixing_lm._OFFSETS[-1]
+    n0, n1 = (sum(np.bincount(row[b], minlength=size) for row in slots).astype(np.float32) for b in (~bits, bits))
+    frame = spark.createDataFrame([(w,) for w in words], "word binary")
+    dealt = frame.selectExpr("word", "xxhash64(word) as h").selectExpr("word", "h", "pmod(h, 3) as shard").orderBy("h").collect()
+    shards = [[bytes(r.word) for r in dealt if r.shard == k] for k in range(3)]
+    sums = sum(mixing_lm.learned_sums(shard, n0, n1) for shard in shards)
+    assert sums[:, 0].sum() == 8 * sum(len(w) + 1 for w in words)
+    plain = mixing_lm.mixer_of(sums)
+    for parts in (1, 5):
+        found = mixing_lm.learned_mixer(frame.repartition(parts), n0, n1, 3)
+        np.testing.assert_allclose(found.weights, plain.weights, rtol=1e-6)
+        np.testing.assert_allclose(found.apm, plain.apm, rtol=1e-6)
+    # A word more changes what is learned, wherever its hash stands.
+    assert all((mixing_lm.learned_sums(words[:-1], n0, n1) != mixing_lm.learned_sums(words[:k] + words[k + 1 : -1], n0, n1)).any()
+               for k in (0, 300, 599))
+
+
 # -------------------------------------------------------------- near dedup
 
 
