@@ -7,7 +7,10 @@ column. Instead:
 1. one map-side pass estimates the distinct count of every column (a sketch of
    a few KB per column and task);
 2. each column gets a digest bound that about ``_HEADROOM * k`` of its distinct
-   values fall under, so the second pass shuffles only those;
+   values fall under, so the second pass shuffles only those. Columns with few
+   distinct values are reduced to their sets first, and only these get a text
+   and a digest; of the others each has a scan of its own, which reads no more
+   of a columnar file and keeps the generated code short;
 3. should fewer than k fall under a bound, that column is read again with
    no bound. The result is exact either way.
 """
@@ -27,11 +30,17 @@ from lakeveil.sources.workspace import stored
 DEFAULT_SAMPLE_SIZE = 50
 STORED_SAMPLE_SIZE = 10
 
-# With 4 * k values expected under a bound, and the distinct count known to
-# about 3 %, a shortfall is a many-sigma event; step 3 covers it all the same.
+# With 4 * k values expected under a bound, and the distinct count known to about
+# 20 % where it is 200, 3 % where it is great, a shortfall is rare; step 3 covers it all the same.
 _HEADROOM = 4
 _BOUND_DIGITS = 12
 _SKETCH_SIZE = 10  # log2 of the sketch's buckets
+_THINNING = 8  # one hash in so many is sketched, as updating a sketch costs more than hashing
+# Up to so many distinct values of fixed width are gathered as a set in each task.
+_FEW = 10_000
+_FIXED_WIDTH = (T.IntegralType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# Branches with digests per table: wider tables have several columns in each.
+_BRANCHES = 24
 # Tables per Spark job: keeps a plan over a wide catalogue small enough to compile.
 _TABLES_PER_JOB = 32
 
@@ -72,8 +81,9 @@ def distinct_estimates(tables: dict[str, DataFrame], columns: Columns | None = N
     for table, names in _chosen(tables, columns).items():
         df = tables[table]
         sketches = [
-            f"hll_sketch_estimate(hll_sketch_agg(xxhash64({_hashable(df, n)}), {_SKETCH_SIZE})) as d{i}"
-            for i, n in enumerate(names)
+            f"{_THINNING} * hll_sketch_estimate(hll_sketch_agg(xxhash64({v}), {_SKETCH_SIZE})"
+            f" filter (where xxhash64({v}) & {_THINNING - 1} = 0)) as d{i}"
+            for i, v in enumerate(_hashable(df, n) for n in names)
         ]
         pairs = ", ".join(f"struct({string(n)} as column_name, d{i} as approx_distinct)" for i, n in enumerate(names))
         frames.append(df.selectExpr(*sketches).selectExpr(f"{string(table)} as table_name", f"inline(array({pairs}))"))
@@ -91,10 +101,37 @@ def _digest_bounds(tables: dict[str, DataFrame], columns: Columns, k: int) -> di
     return bounds
 
 
-def _candidates(df: DataFrame, table: str, names: list[str], bounds: dict) -> DataFrame:
-    """(table_name, column_name, sample_value): the values under their bounds, with repeats.
-
-    Text repair and the digest come after the unpivot, so their code exists once
+def _few(tables: dict[str, DataFrame], columns: Columns, bounds: dict, k: int) -> set[tuple[str, str]]:
+    """The columns with few enough distinct values to be gathered as sets, by the ``_digest_bounds`` of ``columns``."""
+    few = set()
+    for table, names in columns.items():
+        for name in names:
+            data_type, bound = tables[table].schema[name].dataType, bounds.get((table, name))
+            if bound is None:
+                fits = isinstance(data_type, (*_FIXED_WIDTH, T.StringType, T.BooleanType))
+            else:
+                # The bound tells the estimate.
+                fits = isinstance(data_type, _FIXED_WIDTH) and int(bound, 16) * _FEW >= _HEADROOM * k * 16**_BOUND_DIGITS
+            if fits:
+                few.add((table, name))
+    return few
+
+
+def _few_values(df: DataFrame, names: list[str]) -> DataFrame:
+    """(column_name, sample_value) of columns with few distinct values, each value about once."""
+    sets = df.selectExpr(*[f"collect_set({identifier(n)}) as s{i}" for i, n in enumerate(names)])
+    pairs = []
+    for i, n in enumerate(names):
+        data_type = df.schema[n].dataType
+        raw = f"transform(s{i}, v -> {raw_text_sql('v', data_type)})"
+        pairs.append(f"struct({string(n)} as column_name, transform({raw}, t -> {repair_text_sql('t', data_type)}) as s)")
+    return sets.selectExpr(f"inline(array({', '.join(pairs)}))").selectExpr("column_name", "explode(s) as sample_value")
+
+
+def _values(df: DataFrame, names: list[str]) -> DataFrame:
+    """(column_name, sample_value) of all values, with repeats.
+
+    Text repair comes after the unpivot, as the digest does, so their code exists once
     and not once per column: methods over 8000 bytes of bytecode are interpreted.
     """
     types = {n: df.schema[n].dataType for n in names}
@@ -104,20 +141,40 @@ def _candidates(df: DataFrame, table: str, names: list[str], bounds: dict) -> Da
     )
     repairs: dict[str, list[str]] = {}
     for name, data_type in types.items():
-        repair = repair_text_sql("sample_value", data_type)
-        if repair != "sample_value":
-            repairs.setdefault(repair, []).append(string(name))
-    if repairs:
-        cases = " ".join(f"when column_name in ({', '.join(n)}) then {r}" for r, n in repairs.items())
-        values = values.selectExpr("column_name", f"case {cases} else sample_value end as sample_value")
-    bounded = {n: bounds[table, n] for n in names if (table, n) in bounds}
-    if bounded:
-        cases = " ".join(f"when {string(n)} then '{bound}'" for n, bound in bounded.items())
-        limit = f"case column_name {cases} end"
-        free = [string(n) for n in names if n not in bounded]
-        condition = f"md5(sample_value) < {limit}"
-        values = values.where(f"column_name in ({', '.join(free)}) or {condition}" if free else condition)
-    return values.selectExpr(f"{string(table)} as table_name", "column_name", "sample_value")
+        repairs.setdefault(repair_text_sql("sample_value", data_type), []).append(string(name))
+    if len(repairs) == 1:
+        return values.selectExpr("column_name", f"{next(iter(repairs))} as sample_value")
+    cases = " ".join(f"when column_name in ({', '.join(n)}) then {r}" for r, n in repairs.items())
+    return values.selectExpr("column_name", f"case {cases} end as sample_value")
+
+
+def _under_bounds(values: DataFrame, names: list[str], bounds: dict[str, str]) -> DataFrame:
+    """``values`` of the columns ``names`` whose digests are below the bound of their column, if it has one."""
+    own = {n: bounds[n] for n in names if n in bounds}
+    if not own:
+        return values
+    cases = " ".join(f"when {string(n)} then '{bound}'" for n, bound in own.items())
+    condition = f"md5(sample_value) < case column_name {cases} end"
+    free = [string(n) for n in names if n not in own]
+    return values.where(f"column_name in ({', '.join(free)}) or {condition}" if free else condition)
+
+
+def _candidates(df: DataFrame, table: str, names: list[str], bounds: dict, few: set = frozenset()) -> DataFrame:
+    """(table_name, column_name, sample_value): the values under their bounds, with repeats."""
+    own = {n: bounds[table, n] for n in names if (table, n) in bounds}
+    sets = [n for n in names if (table, n) in few]
+    open_ones = [n for n in names if n not in sets and n not in own]
+    bounded = [n for n in names if n not in sets and n in own]
+    parts = []
+    if sets:
+        parts.append(_under_bounds(_few_values(df, sets), sets, own))
+    if open_ones:
+        parts.append(_values(df, open_ones))
+    size = -(-len(bounded) // _BRANCHES)
+    for i in range(0, len(bounded), size or 1):
+        some = bounded[i : i + size]
+        parts.append(_under_bounds(_values(df, some), some, own))
+    return union_all(parts).selectExpr(f"{string(table)} as table_name", "column_name", "sample_value")
 
 
 def _smallest(candidates: DataFrame, k: int) -> DataFrame:
@@ -144,9 +201,10 @@ def sample_tables(
     if not chosen:
         raise ValueError("no columns to sample")
     bounds = _digest_bounds(tables, chosen, sample_size)
+    few = _few(tables, chosen, bounds, sample_size)
     parts = []
     for batch in _batches(list(chosen)):
-        candidates = union_all([_candidates(tables[t], t, chosen[t], bounds) for t in batch])
+        candidates = union_all([_candidates(tables[t], t, chosen[t], bounds, few) for t in batch])
         part = stored(_smallest(candidates, sample_size), "samples")
         bounded = {key for key in bounds if key[0] in batch}
         if bounded:
@@ -198,9 +256,10 @@ def merge_samples(
     open_columns = {t: [n for n in names if (t, n) not in bounds] for t, names in chosen.items()}
     open_columns = {t: names for t, names in open_columns.items() if names}
     estimated = _digest_bounds(tables, open_columns, sample_size) if open_columns else {}
+    few = _few(tables, open_columns, estimated, sample_size)
     known = state.select("table_name", "column_name", "sample_value")
     candidates = [
-        union_all([_candidates(tables[t], t, chosen[t], bounds | estimated) for t in batch])
+        union_all([_candidates(tables[t], t, chosen[t], bounds | estimated, few) for t in batch])
         for batch in _batches(list(chosen))
     ]
     part = stored(_smallest(union_all([known, *candidates]), sample_size), "samples")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from lakeveil.functions.text import as_text
 from lakeveil.operators import classify, profile
 from lakeveil.plans.seeds import RULES
 
@@ -129,3 +130,35 @@ def test_quoted_column_names(spark):
     df = spark.createDataFrame([("x", 1)], ["it's `odd`", "a.b"])
     found = {(r.column_name, r.sample_value) for r in profile.sample_tables({"t": df}).collect()}
     assert found == {("it's `odd`", "x"), ("a.b", "1")}
+
+
+def test_few_values_are_gathered_before_their_texts(spark, monkeypatch):
+    # Every 12th text, number or time comes again and again; three columns have many values.
+    df = spark.range(30_000).repartition(4).selectExpr(
+        "concat('t', id % 12) as few_text", "if(id % 12 = 0, null, (id % 12 - 6) * 1e9) as few_double", "-0.0D * (id % 2) as zero",
+        "cast(id % 12 as float) / 3 as few_float", "id % 2 = 0 as few_boolean", "timestamp_ntz'2020-01-01 00:00:00' +"
+        " make_dt_interval(0, 0, 0, (id % 12) / 4) as few_time", "date_add(date'2020-01-01', cast(id % 500 as int)) as days",
+        "array(id % 3) as few_array", "cast(null as string) as none", "id as many", "cast(id as string) as many_text", "id / 7 as many_double")
+    tables, chosen = {"t": df}, {"t": df.columns}
+    bounds = profile._digest_bounds(tables, chosen, 20)
+    few = profile._few(tables, chosen, bounds, 20)
+    assert {c for _, c in few} == {c for c in df.columns if "few" in c and "array" not in c} | {"zero", "days", "none"}
+    assert {c for _, c in bounds} == {"days", "many", "many_text", "many_double"}
+    # Before, each row of the table was a candidate.
+    assert profile._candidates(df, "t", ["few_text"], bounds, few).count() == 12
+    plain = df.select(*[as_text(c, df.schema[c].dataType).alias(c) for c in df.columns]).collect()
+    for branches in (24, 2):
+        monkeypatch.setattr(profile, "_BRANCHES", branches)
+        found = {c: [] for c in df.columns}
+        for r in profile.sample_tables(tables, sample_size=20).orderBy("sample_rank").collect():
+            found[r.column_name].append(r.sample_value)
+        assert found == {c: _brute([r[c] for r in plain], 20) for c in df.columns}
+
+
+def test_columns_with_many_values_are_read_alone(spark, tmp_path):
+    spark.range(30_000).selectExpr("id as a", "id * 2 as b", "id % 3 as c").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    bounds = profile._digest_bounds({"t": df}, {"t": df.columns}, 20)
+    values = profile._candidates(df, "t", df.columns, bounds, profile._few({"t": df}, {"t": df.columns}, bounds, 20))
+    plan = values._jdf.queryExecution().executedPlan().toString()
+    assert all(f"ReadSchema: struct<{c}:bigint>" in plan for c in "abc")
