@@ -611,6 +611,41 @@ def test_the_mixer_learns_from_every_training_word(spark):
                for k in (0, 300, 599))
 
 
+def test_frequent_words_meet_their_scores_in_place(spark, docs, texts, monkeypatch):
+    monkeypatch.setattr(mixing_lm, "_BLOCK_BYTES", 4096)  # so that words are found in several blocks
+    words = spark.createDataFrame([(b"a", 1), (b"b", 9), (b"c", 9), (b"d", 100), (b"e", 2)], "word binary, blocks bigint")
+    for limit, expected in ((0, []), (1, [b"d"]), (2, [b"d"]), (3, [b"b", b"c", b"d"]), (9, [b"a", b"b", b"c", b"d", b"e"])):
+        frequent = words.where(mixing_lm.frequency(words, limit)).collect()
+        assert sorted(bytes(r.word) for r in frequent) == expected
+    few = docs.orderBy("doc_id").limit(150).repartition(1)
+    found = [{r.doc_id: r for r in mixing_lm.scored(few, frequent_words=n).collect()} for n in (0, 100, 10**6)]
+    assert any(r.n_tokens > 1 for r in found[0].values())
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        for i, r in found[0].items():
+            assert other[i][:6] == r[:6]
+            assert tuple(other[i][6:]) == pytest.approx(tuple(r[6:]), rel=1e-9)
+
+
+def test_words_of_a_block_are_listed_in_the_order_of_their_hashes():
+    rng = np.random.default_rng(3)
+    key = rng.integers(0, 2**63, 50).astype(np.uint64)[rng.integers(0, 50, 4000)]
+    close = np.uint64(5 << 40) + rng.integers(0, 9, 4000).astype(np.uint64)  # these differ in their lowest bits alone
+    for keys in (key, close, np.r_[key, close], key[:1]):
+        np.testing.assert_array_equal(mixing_lm._key_order(keys), np.argsort(keys, kind="stable"))
+    data = np.frombuffer("ein großes, großes x".encode(), np.uint8)
+    starts, ends = np.array([14, 4, 21, 0]), np.array([21, 12, 21, 3])
+    assert mixing_lm._spans(data, starts, ends).to_pylist() == [data[a:b].tobytes() for a, b in zip(starts, ends)]
+
+
+def test_cells_hold_two_tables():
+    first, second = np.arange(8, dtype=np.float32), np.arange(8, dtype=np.float32) ** 2
+    cells, slots = mixing_lm.paired(first, second), np.array([7, 0, 3, 3], np.int32)
+    assert len(cells) == 8
+    for found, table in zip(mixing_lm._read(cells, slots), (first, second)):
+        np.testing.assert_array_equal(found, table[slots])
+
+
 # -------------------------------------------------------------- near dedup
 
 
