@@ -5,12 +5,14 @@ The order makes a sample reproducible and any engine can recompute it. A plain
 column. Instead:
 
 1. one map-side pass estimates the distinct count of every column (a sketch of
-   a few KB per column and task);
+   a few KB per column and task), in all and within each task;
 2. each column gets a digest bound that about ``_HEADROOM * k`` of its distinct
    values fall under, so the second pass shuffles only those. Columns with few
    distinct values are reduced to their sets first, and only these get a text
    and a digest; of the others each has a scan of its own, which reads no more
-   of a columnar file and keeps the generated code short;
+   of a columnar file and keeps the generated code short. Numbers and times that
+   come back often within a task are made distinct as they are, before any text
+   or digest: a task's repeats never leave it, and a digest costs several times as much;
 3. should fewer than k fall under a bound, that column is read again with
    no bound. The result is exact either way.
 """
@@ -35,10 +37,12 @@ STORED_SAMPLE_SIZE = 10
 _HEADROOM = 4
 _BOUND_DIGITS = 12
 _SKETCH_SIZE = 10  # log2 of the sketch's buckets
-_THINNING = 8  # one hash in so many is sketched, as updating a sketch costs more than hashing
+_THINNING = 32  # one hash in so many is sketched, as updating a sketch costs more than hashing
 # Up to so many distinct values of fixed width are gathered as a set in each task.
 _FEW = 10_000
 _FIXED_WIDTH = (T.IntegralType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# Columns are made distinct before their digests if that leaves one row in so many: the shuffle stays below that share.
+_REPEATS = 6
 # Branches with digests per table: wider tables have several columns in each.
 _BRANCHES = 24
 # Tables per Spark job: keeps a plan over a wide catalogue small enough to compile.
@@ -76,28 +80,69 @@ def _hashable(df: DataFrame, name: str) -> str:
 
 
 def distinct_estimates(tables: dict[str, DataFrame], columns: Columns | None = None) -> DataFrame:
-    """(table_name, column_name, approx_distinct); only sketches leave the map side."""
+    """(table_name, column_name, approx_distinct, within_tasks, n_rows); only sketches leave the map side.
+
+    ``within_tasks`` is the sum of the tasks' own distinct counts, ``n_rows`` the table's rows. Counts are 0 where
+    no hash is sketched, as a column has few values or none; tables without rows are left out. Hashes are unpivoted
+    and thinned in generated code.
+    """
+    thin = f"& {_THINNING - 1} = 0"
     frames = []
-    for table, names in _chosen(tables, columns).items():
+    names_of = _chosen(tables, columns)
+    for t, (table, names) in enumerate(names_of.items()):
         df = tables[table]
-        sketches = [
-            f"{_THINNING} * hll_sketch_estimate(hll_sketch_agg(xxhash64({v}), {_SKETCH_SIZE})"
-            f" filter (where xxhash64({v}) & {_THINNING - 1} = 0)) as d{i}"
-            for i, v in enumerate(_hashable(df, n) for n in names)
-        ]
-        pairs = ", ".join(f"struct({string(n)} as column_name, d{i} as approx_distinct)" for i, n in enumerate(names))
-        frames.append(df.selectExpr(*sketches).selectExpr(f"{string(table)} as table_name", f"inline(array({pairs}))"))
-    return union_all(frames)
+        hashes = [f"xxhash64({_hashable(df, n)}) as c{i}" for i, n in enumerate(names)]
+        # One row in so many, in a column of its own: it counts the rows.
+        rows = f"if(monotonically_increasing_id() {thin}, 0L, 1L) as n"
+        wide = df.selectExpr("spark_partition_id() as task", *hashes, rows)
+        values = wide.unpivot(["task"], ["n", *[f"c{i}" for i in range(len(names))]], "c", "h").where(f"h {thin}")
+        frames.append(values.selectExpr(f"{t} as t", "c", "task", "h"))
+    sketches = union_all(frames).groupBy("t", "c", "task").agg(
+        F.expr(f"hll_sketch_agg(h, {_SKETCH_SIZE}) as s"), F.count(F.lit(1)).alias("n")
+    )
+    merged = sketches.groupBy("t", "c").agg(
+        F.expr(f"{_THINNING} * hll_sketch_estimate(hll_union_agg(s)) as approx_distinct"),
+        F.expr(f"{_THINNING} * sum(hll_sketch_estimate(s)) as within_tasks"),
+        F.expr(f"{_THINNING} * sum(n) as n"),
+    )
+    # One row per table, with an entry per column.
+    found = merged.groupBy("t").agg(F.expr("map_from_entries(collect_list((c, (approx_distinct, within_tasks, n)))) as found"))
+    tables_sql = f"array({', '.join(map(string, names_of))})"
+    lists = [f"array({', '.join(map(string, names))})" for names in names_of.values()]
+    named = found.selectExpr("t", "found", f"posexplode(element_at(array({', '.join(lists)}), t + 1)) as (i, column_name)")
+    return named.withColumn("own", F.expr("try_element_at(found, concat('c', i))")).selectExpr(
+        f"element_at({tables_sql}, t + 1) as table_name",
+        "column_name",
+        "coalesce(own.approx_distinct, 0L) as approx_distinct",
+        "coalesce(own.within_tasks, 0L) as within_tasks",
+        "found['n'].n as n_rows",
+    )
+
+
+class _Bounds(dict):
+    """Digest bounds by (table, column); ``repeated`` are the columns whose tasks hold few distinct values for their rows."""
+
+    def __init__(self, bounds: dict | None = None, repeated: set[tuple[str, str]] = frozenset()) -> None:
+        super().__init__(bounds or {})
+        self.repeated = set(repeated)
+
+
+def _repeated(bounds: dict) -> set[tuple[str, str]]:
+    return getattr(bounds, "repeated", set())
 
 
 def _digest_bounds(tables: dict[str, DataFrame], columns: Columns, k: int) -> dict[tuple[str, str], str]:
     """Digest bounds for columns with many distinct values; the others need none."""
-    bounds = {}
+    bounds = _Bounds()
     for batch in _batches(list(columns)):
         for row in distinct_estimates(tables, {t: columns[t] for t in batch}).collect():
             if row.approx_distinct > _HEADROOM * k:
                 fraction = _HEADROOM * k / row.approx_distinct
                 bounds[row.table_name, row.column_name] = f"{int(fraction * 16**_BOUND_DIGITS):0{_BOUND_DIGITS}x}"
+                # Columns with up to _FEW values are gathered as sets.
+                fixed = isinstance(tables[row.table_name].schema[row.column_name].dataType, _FIXED_WIDTH)
+                if fixed and row.approx_distinct > _FEW and row.within_tasks * _REPEATS <= row.n_rows:
+                    bounds.repeated.add((row.table_name, row.column_name))
     return bounds
 
 
@@ -160,16 +205,18 @@ def _under_bounds(values: DataFrame, names: list[str], bounds: dict[str, str]) -
 
 
 def _candidates(df: DataFrame, table: str, names: list[str], bounds: dict, few: set = frozenset()) -> DataFrame:
-    """(table_name, column_name, sample_value): the values under their bounds, with repeats."""
+    """(table_name, column_name, sample_value): the values under their bounds; some repeats are left."""
     own = {n: bounds[table, n] for n in names if (table, n) in bounds}
-    sets = [n for n in names if (table, n) in few]
+    repeated = [n for n in names if (table, n) in _repeated(bounds)][:_BRANCHES]
+    sets = [n for n in names if (table, n) in few and n not in repeated]
     open_ones = [n for n in names if n not in sets and n not in own]
-    bounded = [n for n in names if n not in sets and n in own]
+    bounded = [n for n in names if n not in sets and n not in repeated and n in own]
     parts = []
     if sets:
         parts.append(_under_bounds(_few_values(df, sets), sets, own))
     if open_ones:
         parts.append(_values(df, open_ones))
+    parts += [_under_bounds(_values(df.select(quoted(n)).distinct(), [n]), [n], own) for n in repeated]
     size = -(-len(bounded) // _BRANCHES)
     for i in range(0, len(bounded), size or 1):
         some = bounded[i : i + size]
@@ -257,9 +304,10 @@ def merge_samples(
     open_columns = {t: names for t, names in open_columns.items() if names}
     estimated = _digest_bounds(tables, open_columns, sample_size) if open_columns else {}
     few = _few(tables, open_columns, estimated, sample_size)
+    all_bounds = _Bounds(bounds | estimated, _repeated(estimated))
     known = state.select("table_name", "column_name", "sample_value")
     candidates = [
-        union_all([_candidates(tables[t], t, chosen[t], bounds | estimated, few) for t in batch])
+        union_all([_candidates(tables[t], t, chosen[t], all_bounds, few) for t in batch])
         for batch in _batches(list(chosen))
     ]
     part = stored(_smallest(union_all([known, *candidates]), sample_size), "samples")

@@ -162,3 +162,34 @@ def test_columns_with_many_values_are_read_alone(spark, tmp_path):
     values = profile._candidates(df, "t", df.columns, bounds, profile._few({"t": df}, {"t": df.columns}, bounds, 20))
     plan = values._jdf.queryExecution().executedPlan().toString()
     assert all(f"ReadSchema: struct<{c}:bigint>" in plan for c in "abc")
+
+
+def test_repeats_within_a_task_are_dropped_before_digests(spark):
+    # 12,000 values come 40 times each, 20 times in a task; the others come once.
+    df = spark.range(0, 480_000, numPartitions=2).selectExpr(
+        "id % 12000 as key", "(id % 12000 - 6000) / 4 as price", "timestamp_ntz'2020-01-01 00:00:00' +"
+        " make_dt_interval(0, 0, 0, (id % 12000) / 4) as moment", "id as alone", "if(id < 1000, id, null) as rare",
+        "concat('f', id % 7) as few", "cast(null as boolean) as none", "id % 2 = 0 as odd", "cast(id as string) as text")
+    tables, names = {"t": df}, ["key", "price", "moment"]
+    bounds = profile._digest_bounds(tables, {"t": df.columns}, 20)
+    values = profile._candidates(df, "t", names, bounds, profile._few(tables, {"t": df.columns}, bounds, 20))
+    found = [tuple(r) for r in values.collect()]
+    # Before, each of the 40 occurrences of a value under its bound was a candidate.
+    assert len(found) == len(set(found)) and {c for _, c, _ in found} == set(names)
+    assert {c for _, c in bounds.repeated} == set(names)
+    plain = df.select(*[as_text(c, df.schema[c].dataType).alias(c) for c in df.columns]).collect()
+    samples = {c: [] for c in df.columns}
+    for r in profile.sample_tables(tables, sample_size=20).orderBy("sample_rank").collect():
+        samples[r.column_name].append(r.sample_value)
+    assert samples == {c: _brute([r[c] for r in plain], 20) for c in df.columns}
+    counts = {r.column_name: r for r in profile.distinct_estimates(tables).collect()}
+    assert 0.8 < counts["key"].approx_distinct / 12_000 < 1.2 and 0.8 < counts["key"].within_tasks / 24_000 < 1.2
+    assert 0.9 < counts["alone"].within_tasks / 480_000 < 1.1 and 0.99 < counts["alone"].n_rows / 480_000 < 1.01
+    assert set(counts) == set(df.columns) and counts["none"].approx_distinct == 0
+
+
+def test_shuffle_of_a_column_without_repeats_in_its_tasks_is_left_out(spark):
+    # Every value comes ten times, but in ten different tasks: distinct there would shuffle every row.
+    df = spark.range(0, 400_000, numPartitions=10).selectExpr("id % 40000 as spread")
+    bounds = profile._digest_bounds({"t": df}, {"t": ["spread"]}, 20)
+    assert ("t", "spread") in bounds and not bounds.repeated
