@@ -45,6 +45,11 @@ _FIXED_WIDTH = (T.IntegralType, T.FloatType, T.DoubleType, T.DateType, T.Timesta
 _REPEATS = 6
 # Branches with digests per table: wider tables have several columns in each.
 _BRANCHES = 24
+# Scans per table for the sketches. A file that can't be split is one task per scan, so columns are spread over several.
+_SKETCH_SCANS = 4
+# Tables of so many rows in fewer tasks than the session has cores (files that can't be split) have a branch for each
+# column with few values and a stage for each branch, all side by side.
+_MANY_ROWS = 1_000_000
 # Tables per Spark job: keeps a plan over a wide catalogue small enough to compile.
 _TABLES_PER_JOB = 32
 
@@ -63,6 +68,12 @@ def _batches(names: list[str]) -> list[list[str]]:
     return [names[i : i + _TABLES_PER_JOB] for i in range(0, len(names), _TABLES_PER_JOB)]
 
 
+def _parts(names: list[str], most: int) -> list[list[str]]:
+    """``names`` in at most so many parts of one size."""
+    size = -(-len(names) // most)
+    return [names[i : i + size] for i in range(0, len(names), size or 1)]
+
+
 def _chosen(tables: dict[str, DataFrame], columns: Columns | None) -> Columns:
     for table, names in (columns or {}).items():
         missing = sorted(set(names) - set(tables[table].columns))
@@ -80,9 +91,10 @@ def _hashable(df: DataFrame, name: str) -> str:
 
 
 def distinct_estimates(tables: dict[str, DataFrame], columns: Columns | None = None) -> DataFrame:
-    """(table_name, column_name, approx_distinct, within_tasks, n_rows); only sketches leave the map side.
+    """(table_name, column_name, approx_distinct, within_tasks, n_rows, n_tasks); only sketches leave the map side.
 
-    ``within_tasks`` is the sum of the tasks' own distinct counts, ``n_rows`` the table's rows. Counts are 0 where
+    ``within_tasks`` is the sum of the tasks' own distinct counts, ``n_rows`` the table's rows, ``n_tasks`` the tasks of a
+    scan that had any. Counts are 0 where
     no hash is sketched, as a column has few values or none; tables without rows are left out. Hashes are unpivoted
     and thinned in generated code.
     """
@@ -91,12 +103,13 @@ def distinct_estimates(tables: dict[str, DataFrame], columns: Columns | None = N
     names_of = _chosen(tables, columns)
     for t, (table, names) in enumerate(names_of.items()):
         df = tables[table]
-        hashes = [f"xxhash64({_hashable(df, n)}) as c{i}" for i, n in enumerate(names)]
+        hashes = {f"c{i}": f"xxhash64({_hashable(df, n)})" for i, n in enumerate(names)}
         # One row in so many, in a column of its own: it counts the rows.
-        rows = f"if(monotonically_increasing_id() {thin}, 0L, 1L) as n"
-        wide = df.selectExpr("spark_partition_id() as task", *hashes, rows)
-        values = wide.unpivot(["task"], ["n", *[f"c{i}" for i in range(len(names))]], "c", "h").where(f"h {thin}")
-        frames.append(values.selectExpr(f"{t} as t", "c", "task", "h"))
+        hashes["n"] = f"if(monotonically_increasing_id() {thin}, 0L, 1L)"
+        for some in _parts(list(hashes), _SKETCH_SCANS):
+            wide = df.selectExpr("spark_partition_id() as task", *[f"{hashes[c]} as {c}" for c in some])
+            values = wide.unpivot(["task"], some, "c", "h").where(f"h {thin}")
+            frames.append(values.selectExpr(f"{t} as t", "c", "task", "h"))
     sketches = union_all(frames).groupBy("t", "c", "task").agg(
         F.expr(f"hll_sketch_agg(h, {_SKETCH_SIZE}) as s"), F.count(F.lit(1)).alias("n")
     )
@@ -104,9 +117,10 @@ def distinct_estimates(tables: dict[str, DataFrame], columns: Columns | None = N
         F.expr(f"{_THINNING} * hll_sketch_estimate(hll_union_agg(s)) as approx_distinct"),
         F.expr(f"{_THINNING} * sum(hll_sketch_estimate(s)) as within_tasks"),
         F.expr(f"{_THINNING} * sum(n) as n"),
+        F.count(F.lit(1)).alias("tasks"),
     )
     # One row per table, with an entry per column.
-    found = merged.groupBy("t").agg(F.expr("map_from_entries(collect_list((c, (approx_distinct, within_tasks, n)))) as found"))
+    found = merged.groupBy("t").agg(F.expr("map_from_entries(collect_list((c, (approx_distinct, within_tasks, n, tasks)))) as found"))
     tables_sql = f"array({', '.join(map(string, names_of))})"
     lists = [f"array({', '.join(map(string, names))})" for names in names_of.values()]
     named = found.selectExpr("t", "found", f"posexplode(element_at(array({', '.join(lists)}), t + 1)) as (i, column_name)")
@@ -116,26 +130,37 @@ def distinct_estimates(tables: dict[str, DataFrame], columns: Columns | None = N
         "coalesce(own.approx_distinct, 0L) as approx_distinct",
         "coalesce(own.within_tasks, 0L) as within_tasks",
         "found['n'].n as n_rows",
+        "found['n'].tasks as n_tasks",
     )
 
 
 class _Bounds(dict):
-    """Digest bounds by (table, column); ``repeated`` are the columns whose tasks hold few distinct values for their rows."""
+    """Digest bounds by (table, column); ``repeated`` are the columns whose tasks hold few distinct values for their rows,
+    ``narrow`` the tables with ``_MANY_ROWS`` rows in few tasks."""
 
-    def __init__(self, bounds: dict | None = None, repeated: set[tuple[str, str]] = frozenset()) -> None:
+    def __init__(
+        self, bounds: dict | None = None, repeated: set[tuple[str, str]] = frozenset(), narrow: set[str] = frozenset()
+    ) -> None:
         super().__init__(bounds or {})
-        self.repeated = set(repeated)
+        self.repeated, self.narrow = set(repeated), set(narrow)
 
 
 def _repeated(bounds: dict) -> set[tuple[str, str]]:
     return getattr(bounds, "repeated", set())
 
 
+def _narrow(bounds: dict) -> set[str]:
+    return getattr(bounds, "narrow", set())
+
+
 def _digest_bounds(tables: dict[str, DataFrame], columns: Columns, k: int) -> dict[tuple[str, str], str]:
     """Digest bounds for columns with many distinct values; the others need none."""
     bounds = _Bounds()
     for batch in _batches(list(columns)):
         for row in distinct_estimates(tables, {t: columns[t] for t in batch}).collect():
+            cores = tables[row.table_name].sparkSession.sparkContext.defaultParallelism
+            if row.n_rows >= _MANY_ROWS and row.n_tasks < cores:
+                bounds.narrow.add(row.table_name)
             if row.approx_distinct > _HEADROOM * k:
                 fraction = _HEADROOM * k / row.approx_distinct
                 bounds[row.table_name, row.column_name] = f"{int(fraction * 16**_BOUND_DIGITS):0{_BOUND_DIGITS}x}"
@@ -211,16 +236,15 @@ def _candidates(df: DataFrame, table: str, names: list[str], bounds: dict, few:
     sets = [n for n in names if (table, n) in few and n not in repeated]
     open_ones = [n for n in names if n not in sets and n not in own]
     bounded = [n for n in names if n not in sets and n not in repeated and n in own]
-    parts = []
-    if sets:
-        parts.append(_under_bounds(_few_values(df, sets), sets, own))
+    narrow = table in _narrow(bounds)
+    parts = [_under_bounds(_few_values(df, some), some, own) for some in _parts(sets, _BRANCHES if narrow else 1)]
     if open_ones:
         parts.append(_values(df, open_ones))
     parts += [_under_bounds(_values(df.select(quoted(n)).distinct(), [n]), [n], own) for n in repeated]
-    size = -(-len(bounded) // _BRANCHES)
-    for i in range(0, len(bounded), size or 1):
-        some = bounded[i : i + size]
-        parts.append(_under_bounds(_values(df, some), some, own))
+    for some in _parts(bounded, _BRANCHES):
+        under = _under_bounds(_values(df, some), some, own)
+        # With a shuffle of its own, of few values, it doesn't wait for the stages of the others.
+        parts.append(under.distinct() if narrow else under)
     return union_all(parts).selectExpr(f"{string(table)} as table_name", "column_name", "sample_value")
 
 
@@ -304,7 +328,7 @@ def merge_samples(
     open_columns = {t: names for t, names in open_columns.items() if names}
     estimated = _digest_bounds(tables, open_columns, sample_size) if open_columns else {}
     few = _few(tables, open_columns, estimated, sample_size)
-    all_bounds = _Bounds(bounds | estimated, _repeated(estimated))
+    all_bounds = _Bounds(bounds | estimated, _repeated(estimated), _narrow(estimated))
     known = state.select("table_name", "column_name", "sample_value")
     candidates = [
         union_all([_candidates(tables[t], t, chosen[t], all_bounds, few) for t in batch])

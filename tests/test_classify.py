@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,3 +195,39 @@ def test_shuffle_of_a_column_without_repeats_in_its_tasks_is_left_out(spark):
     df = spark.range(0, 400_000, numPartitions=10).selectExpr("id % 40000 as spread")
     bounds = profile._digest_bounds({"t": df}, {"t": ["spread"]}, 20)
     assert ("t", "spread") in bounds and not bounds.repeated
+
+
+def _schemas(df):
+    return re.findall(r"ReadSchema: struct<(.*?)>", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_columns_of_files_that_cannot_be_split_are_read_side_by_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(profile, "_MANY_ROWS", 20_000)
+    rows = spark.range(30_000).selectExpr(
+        "id as many", "concat('m', id) as text", "id % 3 as few", "concat('f', id % 5) as tag", "if(id % 2 = 0, id % 700 / 4, null) as half")
+    rows.repartition(1).write.parquet(f"{tmp_path}/t")
+    one = spark.read.parquet(f"{tmp_path}/t")
+    # Before, one task hashed all columns, and another gathered all those with few values.
+    assert max(s.count(":") for s in _schemas(profile.distinct_estimates({"t": one}))) == 2
+    bounds = profile._digest_bounds({"t": one}, {"t": one.columns}, 20)
+    few = profile._few({"t": one}, {"t": one.columns}, bounds, 20)
+    assert {c for _, c in few} == {"few", "tag", "half"} and bounds.narrow == {"t"}
+    candidates = profile._candidates(one, "t", one.columns, bounds, few)
+    assert sorted(s.split(":")[0] for s in _schemas(candidates)) == sorted(one.columns)
+    # Each of the five reads ends in a shuffle of its own.
+    assert candidates._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 5
+    samples = {}
+    for r in profile.sample_tables({"t": one}, sample_size=20).orderBy("sample_rank").collect():
+        samples.setdefault(r.column_name, []).append(r.sample_value)
+    plain = one.select(*[as_text(c, one.schema[c].dataType).alias(c) for c in one.columns]).collect()
+    assert samples == {c: _brute([r[c] for r in plain], 20) for c in one.columns}
+
+
+def test_columns_with_few_values_share_a_scan_where_tasks_fill_the_cores(spark, monkeypatch):
+    monkeypatch.setattr(profile, "_MANY_ROWS", 20_000)
+    cores = spark.sparkContext.defaultParallelism
+    for parts, narrow in ((cores, set()), (cores - 1, {"t"})):
+        df = spark.range(0, 30_000, numPartitions=parts).selectExpr("id", "id % 3 as few")
+        found = {(r.n_tasks, r.n_rows) for r in profile.distinct_estimates({"t": df}).collect()}
+        assert {n for n, _ in found} == {parts} and all(0.9 < n / 30_000 < 1.1 for _, n in found)
+        assert profile._digest_bounds({"t": df}, {"t": df.columns}, 20).narrow == narrow
