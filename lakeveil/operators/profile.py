@@ -45,10 +45,12 @@ _FIXED_WIDTH = (T.IntegralType, T.FloatType, T.DoubleType, T.DateType, T.Timesta
 _REPEATS = 6
 # Branches with digests per table: wider tables have several columns in each.
 _BRANCHES = 24
-# Scans per table for the sketches. A file that can't be split is one task per scan, so columns are spread over several.
+# Scans per table for the sketches. A file that can't be split is one task per scan, so columns are spread over several,
+# with so many columns each at least: every scan costs code to compile and tasks to start.
 _SKETCH_SCANS = 4
-# Tables of so many rows in fewer tasks than the session has cores (files that can't be split) have a branch for each
-# column with few values and a stage for each branch, all side by side.
+_SKETCH_COLUMNS = 4
+# Tables of so many rows a task in fewer tasks than the session has cores (files that can't be split) have a branch for
+# each column with few values and a stage for each branch, all side by side.
 _MANY_ROWS = 1_000_000
 # Tables per Spark job: keeps a plan over a wide catalogue small enough to compile.
 _TABLES_PER_JOB = 32
@@ -68,10 +70,10 @@ def _batches(names: list[str]) -> list[list[str]]:
     return [names[i : i + _TABLES_PER_JOB] for i in range(0, len(names), _TABLES_PER_JOB)]
 
 
-def _parts(names: list[str], most: int) -> list[list[str]]:
+def _parts(names: list[str], most: int, least_size: int = 1) -> list[list[str]]:
     """``names`` in at most so many parts of one size."""
-    size = -(-len(names) // most)
-    return [names[i : i + size] for i in range(0, len(names), size or 1)]
+    size = max(-(-len(names) // most), least_size)
+    return [names[i : i + size] for i in range(0, len(names), size)]
 
 
 def _chosen(tables: dict[str, DataFrame], columns: Columns | None) -> Columns:
@@ -106,7 +108,7 @@ def distinct_estimates(tables: dict[str, DataFrame], columns: Columns | None = N
         hashes = {f"c{i}": f"xxhash64({_hashable(df, n)})" for i, n in enumerate(names)}
         # One row in so many, in a column of its own: it counts the rows.
         hashes["n"] = f"if(monotonically_increasing_id() {thin}, 0L, 1L)"
-        for some in _parts(list(hashes), _SKETCH_SCANS):
+        for some in _parts(list(hashes), _SKETCH_SCANS, _SKETCH_COLUMNS):
             wide = df.selectExpr("spark_partition_id() as task", *[f"{hashes[c]} as {c}" for c in some])
             values = wide.unpivot(["task"], some, "c", "h").where(f"h {thin}")
             frames.append(values.selectExpr(f"{t} as t", "c", "task", "h"))
@@ -136,7 +138,7 @@ def distinct_estimates(tables: dict[str, DataFrame], columns: Columns | None = N
 
 class _Bounds(dict):
     """Digest bounds by (table, column); ``repeated`` are the columns whose tasks hold few distinct values for their rows,
-    ``narrow`` the tables with ``_MANY_ROWS`` rows in few tasks."""
+    ``narrow`` the tables read in few tasks of ``_MANY_ROWS`` rows."""
 
     def __init__(
         self, bounds: dict | None = None, repeated: set[tuple[str, str]] = frozenset(), narrow: set[str] = frozenset()
@@ -159,7 +161,7 @@ def _digest_bounds(tables: dict[str, DataFrame], columns: Columns, k: int) -> di
     for batch in _batches(list(columns)):
         for row in distinct_estimates(tables, {t: columns[t] for t in batch}).collect():
             cores = tables[row.table_name].sparkSession.sparkContext.defaultParallelism
-            if row.n_rows >= _MANY_ROWS and row.n_tasks < cores:
+            if row.n_tasks < cores and row.n_rows >= _MANY_ROWS * row.n_tasks:
                 bounds.narrow.add(row.table_name)
             if row.approx_distinct > _HEADROOM * k:
                 fraction = _HEADROOM * k / row.approx_distinct

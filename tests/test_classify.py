@@ -208,7 +208,7 @@ def test_columns_of_files_that_cannot_be_split_are_read_side_by_side(spark, tmp_
     rows.repartition(1).write.parquet(f"{tmp_path}/t")
     one = spark.read.parquet(f"{tmp_path}/t")
     # Before, one task hashed all columns, and another gathered all those with few values.
-    assert max(s.count(":") for s in _schemas(profile.distinct_estimates({"t": one}))) == 2
+    assert max(s.count(":") for s in _schemas(profile.distinct_estimates({"t": one}))) == 4
     bounds = profile._digest_bounds({"t": one}, {"t": one.columns}, 20)
     few = profile._few({"t": one}, {"t": one.columns}, bounds, 20)
     assert {c for _, c in few} == {"few", "tag", "half"} and bounds.narrow == {"t"}
@@ -224,10 +224,10 @@ def test_columns_of_files_that_cannot_be_split_are_read_side_by_side(spark, tmp_
 
 
 def test_columns_with_few_values_share_a_scan_where_tasks_fill_the_cores(spark, monkeypatch):
-    monkeypatch.setattr(profile, "_MANY_ROWS", 20_000)
+    monkeypatch.setattr(profile, "_MANY_ROWS", 2_000)
     cores = spark.sparkContext.defaultParallelism
-    for parts, narrow in ((cores, set()), (cores - 1, {"t"})):
-        df = spark.range(0, 30_000, numPartitions=parts).selectExpr("id", "id % 3 as few")
+    for parts, n_rows, narrow in ((cores, 60_000, set()), (cores - 1, 60_000, {"t"}), (2, 3_000, set())):
+        df = spark.range(0, n_rows, numPartitions=parts).selectExpr("id", "id % 3 as few")
         found = {(r.n_tasks, r.n_rows) for r in profile.distinct_estimates({"t": df}).collect()}
-        assert {n for n, _ in found} == {parts} and all(0.9 < n / 30_000 < 1.1 for _, n in found)
+        assert {n for n, _ in found} == {parts} and all(0.9 < n / n_rows < 1.1 for _, n in found)
         assert profile._digest_bounds({"t": df}, {"t": df.columns}, 20).narrow == narrow
